@@ -749,8 +749,9 @@ def level_for_xp(thresholds: Column, xp: Column) -> Column:
 def fact_match_player_minute(
     samples: DataFrame, constants: DataFrame, people: DataFrame, heroes: DataFrame
 ) -> DataFrame:
-    level = level_for_xp(xp_thresholds(constants).scalar(), F.col("xp"))
-    rows = _with_names(samples.withColumn("level", level), people, heroes, "hero_localized_name")
+    rows = samples.withColumn("steps", xp_thresholds(constants).scalar())
+    rows = rows.withColumn("level", level_for_xp(F.col("steps"), F.col("xp")))
+    rows = _with_names(rows, people, heroes, "hero_localized_name")
     return rows.select(
         *"match_id player_slot account_id hero_id side minute time_sec gold xp level".split(),
         *"last_hits denies player_name hero_localized_name".split(),
