@@ -228,14 +228,41 @@ DECLARED_CHECKS: list[Check] = [
 ]
 
 
+def _row_test(check: Check) -> Column | None:
+    """Condition of a failing row, for checks that look at one row at a time."""
+    col = F.col(check.column)
+    if check.kind == "not_null":
+        return col.isNull()
+    if check.kind == "seq_in_range":
+        return col < 1
+    if check.kind == "accepted_values":
+        return ~col.isin(list(check.values))
+    return None
+
+
 def summarize(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
-    """One row per check with the number of failing rows, as one lazy plan."""
-    usable = [c for c in checks or DECLARED_CHECKS if c.table in tables]
-    counts = [
-        c.failing(tables).agg(F.count(F.lit(1)).alias("failing")).select(
-            F.lit(c.name).alias("check"), "failing"
-        )
-        for c in usable
-        if not c.parent[0] or c.parent[0] in tables
+    """One row per check with its number of failures, as one lazy plan.
+
+    All row-wise checks of a table share one scan; keys and links take an aggregate or join each.
+    """
+    usable = [
+        c
+        for c in checks or DECLARED_CHECKS
+        if c.table in tables and (not c.parent[0] or c.parent[0] in tables)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    parts = []
+    for table in dict.fromkeys(c.table for c in usable):
+        tests = [(c, _row_test(c)) for c in usable if c.table == table]
+        tests = [(c, test) for c, test in tests if test is not None]
+        if tests:
+            counts = [F.count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(tests)]
+            named = [
+                F.struct(F.lit(c.name).alias("check"), F.col(f"n{i}").alias("failing"))
+                for i, (c, _) in enumerate(tests)
+            ]
+            parts.append(tables[table].agg(*counts).select(F.inline(F.array(*named))))
+    for check in usable:
+        if _row_test(check) is None:
+            failing = check.failing(tables).agg(F.count(F.lit(1)).alias("failing"))
+            parts.append(failing.select(F.lit(check.name).alias("check"), "failing"))
+    return reduce(DataFrame.unionByName, parts)

@@ -50,9 +50,16 @@ FIELDS: dict[str, tuple[list[str], list[str] | None]] = {
 def parse_matches(bronze: DataFrame, model: str | None = None) -> DataFrame:
     """Nested match frame from bronze JSON: the fields of one model, or all of them."""
     schema = schemas.match_document(*FIELDS[model]) if model else schemas.FULL_MATCH
-    return bronze.select(F.from_json("payload", schema).alias("m"), "loaded_at").select(
-        "m.*", "loaded_at"
-    )
+    return parse_fields(bronze, "payload", schema, "loaded_at")
+
+
+def parse_fields(df: DataFrame, text: str, schema, *keep: str) -> DataFrame:
+    """The fields of a JSON text as columns, behind the kept ones.
+
+    A generator over a one-element array pins the parse to one evaluation per row. Selecting the
+    fields of a parsed column instead lets the optimizer push a parse of its own into each field.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
 def _loaded_at() -> Column:
@@ -342,9 +349,8 @@ def stg_heroes(constants: DataFrame) -> DataFrame:
 
 def _records(bronze: DataFrame, key: str, fields: list[str]) -> DataFrame:
     shape = "struct<" + ",".join(f"{f}:string" for f in fields) + ">"
-    return bronze.select(
-        F.col(key).cast("string").alias(key), F.from_json("payload", shape).alias("r")
-    ).select(key, "r.*")
+    keyed = bronze.withColumn(key, F.col(key).cast("string")).withColumnRenamed(key, "__id")
+    return parse_fields(keyed, "payload", shape, "__id").withColumnRenamed("__id", key)
 
 
 def stg_hero_stats(hero_stats: DataFrame) -> DataFrame:

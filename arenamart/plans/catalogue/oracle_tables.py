@@ -231,6 +231,7 @@ c_abilities AS (
   SELECT CASE WHEN id % 10 = 0 THEN 'special_bonus_unique_' || id WHEN id < 40
               THEN 'spell_' || id ELSE 'rest_' || id END AS k,
          CASE WHEN id = 5 THEN NULL WHEN id = 6 THEN ''
+              WHEN id % 20 = 0 THEN '-{{s:bonus_value}} Gain ' || id
               WHEN id % 10 = 0 THEN '+{{s:bonus_value}}% Gain ' || id
               ELSE 'Spell ' || id END AS dname,
          CASE WHEN id % 3 <> 0 THEN '/abilities/' || id || '.png' END AS img, {DAMAGE_KIND} AS kind

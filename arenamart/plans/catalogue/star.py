@@ -41,7 +41,8 @@ class Star:
 
     def _flatten(self, model: str, nested: DataFrame) -> DataFrame:
         if model == "stg_match_player_damage_taken_type":
-            return staging.stg_match_player_damage_taken_type(nested, self.driver.constants)
+            lists = self.constants("abilities", "items")
+            return staging.stg_match_player_damage_taken_type(nested, lists)
         return staging.MATCH_MODELS[model](nested)
 
     def silver(self, model: str) -> DataFrame:
@@ -54,9 +55,8 @@ class Star:
     def nested(self) -> DataFrame:
         return self.driver.nested(*ALL)
 
-    @property
-    def constants(self) -> DataFrame:
-        return self.driver.constants
+    def constants(self, *names: str) -> DataFrame:
+        return self.driver.constants(*names)
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -72,7 +72,7 @@ class Star:
 
     @cached_property
     def stg_heroes(self) -> DataFrame:
-        return staging.stg_heroes(self.constants)
+        return staging.stg_heroes(self.constants("heroes"))
 
     @cached_property
     def stg_hero_stats(self) -> DataFrame:
@@ -103,7 +103,7 @@ class Star:
 
     @cached_property
     def items(self) -> DataFrame:
-        return dimensions.dim_item(self.constants)
+        return dimensions.dim_item(self.constants("items", "item_ids"))
 
     @cached_property
     def runes(self) -> DataFrame:
@@ -169,5 +169,8 @@ class Star:
     @cached_property
     def minute_fact(self) -> DataFrame:
         return facts.fact_match_player_minute(
-            self.silver("stg_match_player_minute"), self.constants, self.people, self.heroes
+            self.silver("stg_match_player_minute"),
+            self.constants("xp_level"),
+            self.people,
+            self.heroes,
         )

@@ -32,6 +32,13 @@ INFLICTOR_KEY = (
     " else concat('spell_', l_suppkey % 40) end"
 )
 
+DAMAGE_KIND = (
+    "case id % 4 when 0 then 'Magical' when 1 then 'Pure' when 2 then 'Physical' else 'Odd' end"
+)
+RESOURCES = (
+    "heroes items item_ids abilities ability_ids game_mode lobby_type region patch xp_level"
+).split()
+
 # Player fields in the order of the schema: name -> expression over the aggregated lines.
 PLAYER_EXPR = {
     "player_slot": SLOT,
@@ -358,106 +365,98 @@ class DriverTables:
             ).alias("payload")
         )
 
-    @cached_property
-    def constants(self) -> DataFrame:
-        """All resource documents. Ids are remainders, so each document has a fixed size."""
-        part = self.table("part")
-
-        def by(expr: str) -> DataFrame:
-            return part.groupBy(F.expr(expr).alias("id")).agg(
-                F.min("p_name").alias("name"),
-                F.min("p_type").alias("type"),
-                F.min("p_brand").alias("low"),
-                F.max("p_brand").alias("high"),
+    def constants(self, *names: str) -> DataFrame:
+        """The named resource documents, or all. Ids are remainders, so their size is fixed."""
+        out = None
+        for name in names or RESOURCES:
+            one = getattr(self, f"_{name}")().select(
+                F.lit(name).alias("resource"), "payload", F.expr(LOADED_AT).alias("loaded_at")
             )
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def _parts_by(self, expr: str) -> DataFrame:
+        return self.table("part").groupBy(F.expr(expr).alias("id")).agg(
+            F.min("p_name").alias("name"),
+            F.min("p_type").alias("type"),
+            F.min("p_brand").alias("low"),
+            F.max("p_brand").alias("high"),
+        )
 
-        attr = "case id % 5 when 0 then 'agi' when 1 then 'all' when 2 then 'int' when 3 then 'str' else 'odd' end"
-        dmg = "case id % 4 when 0 then 'Magical' when 1 then 'Pure' when 2 then 'Physical' else 'Odd' end"
-        heroes = self._object(
-            by("1 + p_partkey % 127"),
+    def _heroes(self) -> DataFrame:
+        return self._object(
+            self._parts_by("1 + p_partkey % 127"),
             "id",
             "case when id % 50 <> 7 then concat('npc_dota_hero_', id) end as name",
             "name as localized_name",
-            f"{attr} as primary_attr",
+            "case id % 5 when 0 then 'agi' when 1 then 'all' when 2 then 'int' when 3 then 'str'"
+            " else 'odd' end as primary_attr",
             "type as attack_type",
             "array(low, high) as roles",
             "concat('/heroes/', id, '.png?') as img",
         )
-        items = self._object(
-            by("p_partkey % 60"),
+
+    def _items(self) -> DataFrame:
+        return self._object(
+            self._parts_by("p_partkey % 60"),
             "concat('item_', id)",
             "case when id % 7 <> 0 then concat('Item ', name) end as dname",
             "case when id % 5 <> 0 then concat('/items/', id, '.png') else '' end as img",
-            f"{dmg} as dmg_type",
+            f"{DAMAGE_KIND} as dmg_type",
         )
-        item_ids = self._object(by("p_partkey % 250"), "id", "concat('item_', id)")
-        ability_rows = by("p_partkey % 280").selectExpr(
-            "*",
+
+    def _item_ids(self) -> DataFrame:
+        return self._object(self._parts_by("p_partkey % 250"), "id", "concat('item_', id)")
+
+    def _abilities(self) -> DataFrame:
+        return self._object(
+            self._parts_by("p_partkey % 280"),
             "case when id % 10 = 0 then concat('special_bonus_unique_', id)"
-            " when id < 40 then concat('spell_', id)"
-            " else concat('rest_', id) end as key",
-        )
-        abilities = self._object(
-            ability_rows,
-            "key",
+            " when id < 40 then concat('spell_', id) else concat('rest_', id) end",
             "case when id = 5 then null when id = 6 then ''"
+            " when id % 20 = 0 then concat('-{s:bonus_value} Gain ', id)"
             " when id % 10 = 0 then concat('+{s:bonus_value}% Gain ', id)"
             " else concat('Spell ', id) end as dname",
             "case when id % 3 <> 0 then concat('/abilities/', id, '.png') end as img",
-            f"{dmg} as dmg_type",
+            f"{DAMAGE_KIND} as dmg_type",
         )
-        ability_ids = self._object(
-            by("p_partkey % 280"),
+
+    def _ability_ids(self) -> DataFrame:
+        return self._object(
+            self._parts_by("p_partkey % 280"),
             "id",
             "case id % 10 when 0 then concat('special_bonus_unique_', id)"
             " when 1 then 'attribute_bonus' when 2 then ''"
             " when 3 then 'special_bonus_attributes' else concat('sp_ell_', id % 40) end",
         )
-        orders = self.table("orders")
-        modes = orders.groupBy(F.expr("substring(o_orderpriority, 1, 1)").alias("id")).agg(
-            F.min(F.expr("lower(substring(o_orderpriority, 3))")).alias("name")
-        )
-        game_mode = self._object(
+
+    def _game_mode(self) -> DataFrame:
+        modes = self.table("orders").groupBy(
+            F.expr("substring(o_orderpriority, 1, 1)").alias("id")
+        ).agg(F.min(F.expr("lower(substring(o_orderpriority, 3))")).alias("name"))
+        return self._object(
             modes, "id", "concat('game_mode_', name) as name", "id < '4' as balanced"
         )
-        lobbies = orders.groupBy(F.expr("o_orderkey % 14").alias("id")).agg(
-            F.min("o_orderpriority").alias("name")
-        )
-        lobby_type = self._object(
+
+    def _lobby_type(self) -> DataFrame:
+        lobbies = self.table("orders").select(F.expr("o_orderkey % 14").alias("id")).distinct()
+        return self._object(
             lobbies, "id", "concat('lobby_type_l_', id) as name", "id % 2 = 0 as balanced"
         )
-        region = self._object(self.table("region"), "r_regionkey", "r_name")
-        nation = self.table("nation")
-        patch = nation.agg(
-            F.to_json(
-                F.collect_list(
-                    F.expr(
-                        "struct(n_nationkey as id, n_name as name,"
-                        " concat(2000 + n_nationkey, '-03-04T00:00:00Z') as date)"
-                    )
-                )
-            ).alias("payload")
-        )
-        xp_level = nation.agg(
-            F.to_json(F.sort_array(F.collect_list(F.expr("n_nationkey * 1500")))).alias("payload")
+
+    def _region(self) -> DataFrame:
+        return self._object(self.table("region"), "r_regionkey", "r_name")
+
+    def _patch(self) -> DataFrame:
+        entry = (
+            "struct(n_nationkey as id, n_name as name,"
+            " concat(2000 + n_nationkey, '-03-04T00:00:00Z') as date)"
         )
-        documents = {
-            "heroes": heroes,
-            "items": items,
-            "item_ids": item_ids,
-            "abilities": abilities,
-            "ability_ids": ability_ids,
-            "game_mode": game_mode,
-            "lobby_type": lobby_type,
-            "region": region,
-            "patch": patch,
-            "xp_level": xp_level,
-        }
-        out = None
-        for name, df in documents.items():
-            one = df.select(F.lit(name).alias("resource"), "payload", F.expr(LOADED_AT).alias("loaded_at"))
-            out = one if out is None else out.unionByName(one)
-        return out
+        return self.table("nation").agg(F.to_json(F.collect_list(F.expr(entry))).alias("payload"))
+
+    def _xp_level(self) -> DataFrame:
+        steps = F.sort_array(F.collect_list(F.expr("n_nationkey * 1500")))
+        return self.table("nation").agg(F.to_json(steps).alias("payload"))
 
     def _records(self, rows: DataFrame, key: str, key_type: str, *fields: str) -> DataFrame:
         text = F.to_json(F.struct(*[F.expr(f) for f in fields]), {"ignoreNullFields": "false"})
@@ -535,7 +534,7 @@ class DriverTables:
             "players": self.pros,
             "teams": self.teams,
             "hero_stats": self.hero_stats,
-            "constants": self.constants,
+            "constants": self.constants(),
         }
 
 
