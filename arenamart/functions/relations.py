@@ -25,6 +25,24 @@ def null_aware_not_in(df: DataFrame, col: str, other: DataFrame, other_col: str)
     return kept.where(nothing_listed | no_null_listed)
 
 
+# Keys up to this number fit a broadcast with ease (ids are short).
+BROADCAST_KEYS = 500_000
+
+
+def without_keys(df: DataFrame, col: Column, keys: DataFrame) -> DataFrame:
+    """Rows of a wide ``df`` whose ``col`` is not among ``keys`` (its first column).
+
+    Counts the keys first, which runs a job: with none the rows pass as they are, a bounded number
+    is broadcast so that the wide rows are not shuffled, and beyond that both sides are.
+    """
+    listed = keys.select(F.col(keys.columns[0]).alias("__listed")).distinct()
+    number = listed.limit(BROADCAST_KEYS + 1).count()
+    if number == 0:
+        return df
+    side = F.broadcast(listed) if number <= BROADCAST_KEYS else listed
+    return df.join(side, col == F.col("__listed"), "left_anti")
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Row number within groups that are small by nature, such as the rows of one match."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -286,16 +286,18 @@ def dim_hero_role(heroes: DataFrame) -> DataFrame:
 
 
 def player_identity(pros: DataFrame, players: DataFrame) -> DataFrame:
-    """Pro players, and every other account of the matches under its latest name."""
-    others = null_aware_not_in(players, "account_id", pros, "account_id").withColumn(
-        "personaname", blank_to_null(F.col("personaname"))
-    )
+    """Pro players, and every other account of the matches under its latest name.
+
+    Player rows fold to one row per account before they meet the pro list.
+    """
+    named = players.withColumn("personaname", blank_to_null(F.col("personaname")))
     latest = latest_per_key(
-        others, ["account_id"], ["loaded_at", "match_id", "player_slot"], ["personaname"]
+        named, ["account_id"], ["loaded_at", "match_id", "player_slot"], ["personaname"]
     )
+    others = null_aware_not_in(latest, "account_id", pros, "account_id")
     none = F.lit(None).cast("string")
     return pros.withColumn("player_type", F.lit("Pro")).unionByName(
-        latest.select(
+        others.select(
             "account_id",
             F.col("personaname").alias("player_name"),
             none.alias("rank_tier"),

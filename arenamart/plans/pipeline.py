@@ -199,7 +199,7 @@ def run_layers(
     nested = store("nested_matches", staging.parse_matches(tables["matches"]))
     silver = build_silver(nested, tables, store)
     gold = build_gold(silver, tables["constants"], rune_seed, store)
-    tables |= silver | gold
+    tables |= {"nested_matches": nested} | silver | gold
     if check:
         tables["check_summary"] = checks.summarize(tables)
     if snapshot:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from arenamart import fixed_values as fv
 from arenamart import schemas
 from arenamart.functions.columns import json_kind
-from arenamart.functions.relations import latest_per_key
+from arenamart.functions.relations import latest_per_key, without_keys
 
 # The document name is the file name without its extension.
 FILE_STEM = r"([^/]+?)(\.[^./]*)?$"
@@ -48,8 +48,7 @@ def read_files(
 
 def skip_existing(files: DataFrame, known: DataFrame) -> DataFrame:
     """Files whose name is not the key of a loaded document."""
-    loaded = known.select(F.col(known.columns[0]).cast("string").alias("__known"))
-    return files.join(loaded, F.col("name") == F.col("__known"), "left_anti")
+    return without_keys(files, F.col("name"), known.select(F.col(known.columns[0]).cast("string")))
 
 
 def strip_payload_field(payload: Column, field: str = fv.FETCH_STAMP) -> Column:
@@ -71,13 +70,18 @@ def _field(payload: Column, key: str) -> Column:
 def documents_by_key(
     files: DataFrame, key: str, key_type: str = "string", loaded_at: Column | None = None
 ) -> DataFrame:
-    """One bronze row per file. The key is the document's own field, else the file name."""
+    """One bronze row per file. The key is the document's own field, else the file name.
+
+    File path and position are kept, for ``last_per_key`` to tell which of several comes last.
+    """
     value = F.col("value")
     own = F.when(json_kind(value) == "object", _field(value, key))
     return files.select(
         F.coalesce(own, F.col("name")).cast(key_type).alias(key),
         F.when(own.isNotNull(), strip_payload_field(value)).otherwise(value).alias("payload"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"),
+        *[c for c in ("path",) if c in files.columns],
+        F.lit(0).alias("at"),
     )
 
 
@@ -97,7 +101,7 @@ def elements_by_key(
 ) -> DataFrame:
     """One bronze row per array element that is an object with the key.
 
-    File name and position are kept, for ``upsert_by_key`` to tell which of several comes last.
+    File path and position are kept, for ``last_per_key`` to tell which of several comes last.
     """
     record = F.col("record")
     return (
@@ -107,7 +111,7 @@ def elements_by_key(
             _field(record, key).cast(key_type).alias(key),
             strip_payload_field(record).alias("payload"),
             (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"),
-            "name",
+            *[c for c in ("path",) if c in files.columns],
             "at",
         )
         .where(F.col(key).isNotNull())
@@ -124,6 +128,18 @@ def is_readable(payload: Column) -> Column:
     return F.try_parse_json(payload).isNotNull()
 
 
+def last_per_key(rows: DataFrame, key: str, order: list[str], values: list[str]) -> DataFrame:
+    """One row per key, the last by ``order``.
+
+    Documents are large and keys rarely repeat. Only rows whose key does repeat are aggregated; the
+    others pass without a shuffle of their payload.
+    """
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    single = without_keys(rows, F.col(key), repeated).select(key, *values)
+    several = rows.join(repeated, key, "left_semi")
+    return single.unionByName(latest_per_key(several, [key], order, values))
+
+
 def load_folder(
     spark: SparkSession,
     data_dir: str,
@@ -132,6 +148,8 @@ def load_folder(
 ) -> dict[str, DataFrame]:
     """Bronze tables of a data folder, merged into existing ones.
 
+    For a folder that keeps growing use ``stream_bronze``, which never opens a file twice.
+
     Matches never change, so files of loaded matches are skipped unread; all other records replace
     the stored ones of the same key.
     """
@@ -144,9 +162,7 @@ def load_folder(
         files = read_files(spark, f"{data_dir.rstrip('/')}/{glob}", known=known)
         make = documents_by_key if per_file else elements_by_key
         new = make(files, key, kind)
-        if per_file:
-            new = new.withColumns({"name": F.lit(""), "at": F.lit(0)})
-        new = latest_per_key(new, [key], ["name", "at", "payload"], ["payload", "loaded_at"])
+        new = last_per_key(new, key, ["path", "at"], ["payload", "loaded_at"])
         out[table] = new if old is None else upsert_by_key(old, new, key)
     return out
 

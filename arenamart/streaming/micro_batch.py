@@ -38,7 +38,8 @@ def stream_bronze(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        incremental_sink(documents_by_key(batch, key, kind), target, [key], [key])
+        rows = documents_by_key(batch, key, kind).select(key, "payload", "loaded_at")
+        incremental_sink(rows, target, [key], [key])
 
     return (
         files.writeStream.foreachBatch(load)
