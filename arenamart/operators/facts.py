@@ -560,18 +560,13 @@ def fact_match_players(
     )
     extra: list[Column] = []
     for i, (df, key, values) in enumerate(parts):
-        name = f"__part_{i}"
-        rows = rows.join(_per_match(df, key, values, name), "match_id", "left")
-        found = F.try_element_at(F.col(name), F.col(key))
-        extra += [found.getField(v).alias(v) for v in values]
-    enriched = rows.select(
-        *players.columns,
-        team_side(F.col("team_number")).alias("side"),
-        "hero_games",
-        "hero_win_rate",
-        *[f"{slot}_name" for slot in ITEM_SLOTS],
-        *extra,
-    )
+        carried = rows.columns
+        rows = rows.join(_per_match(df, key, values, "__part"), "match_id", "left")
+        # Only the entry of the row's own key is carried on, not the map.
+        entry = F.try_element_at(F.col("__part"), F.col(key)).alias(f"__found_{i}")
+        rows = rows.select(*carried, entry)
+        extra += [F.col(f"__found_{i}.{v}").alias(v) for v in values]
+    enriched = rows.select("*", team_side(F.col("team_number")).alias("side"), *extra)
     return enriched.select(
         *"match_id player_slot account_id hero_id team_number side team_win comp_sig".split(),
         *"hero_games hero_win_rate top_skills".split(),
