@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ HELD_OUT_OF = 5
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers look for this package where the driver found it; on a cluster it is shipped.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -61,3 +67,21 @@ def broadcast_slices(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
         return [df]
     part = F.pmod(F.xxhash64(key), F.lit(parts))
     return [df.where(part == i) for i in range(parts)]
+
+
+def contiguous(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of equal key, for rows that arrive sorted by it; a run may cross batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        values = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
+        start = 0
+        for i in range(1, len(values) + 1):
+            if i == len(values) or values[i] != values[start]:
+                if held and values[start] != last:
+                    yield held
+                    held = []
+                held.append(batch.slice(start, i - start))
+                last, start = values[i - 1], i
+    if held:
+        yield held
