@@ -1,8 +1,9 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams against all token windows.
 
 Words are runs of ASCII letters and digits and of any non-ASCII character, with A-Z lower-cased. A
-window is ``n`` consecutive words of a benchmark item; a shorter item with a word is one window. All
-windows of a document are hashed, looked up in the broadcast set, and a hit is verified on its words.
+window is ``n`` consecutive words of a benchmark item; a shorter item with a word is one window. For every
+window of a document, the hash of its first words is looked up in a table of bits; where a test window may
+start, the whole window is hashed, looked up in the broadcast set, and a hit is verified on its words.
 
 Defined results: a null or wordless text has no words and no hits; a null or wordless item has no
 windows; an item without id marks words but is not counted as an item; repeated document rows each
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arenamart.llm.common import ascii_lower, broadcast_slices, read
+from arenamart.llm.common import ascii_lower, broadcast_slices, read, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before lower-casing: A-Z belong to words.
@@ -25,22 +26,40 @@ RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Benchmark windows in one broadcast; about 150 bytes each, so below 100 MB.
 WINDOWS_PER_BROADCAST = 500_000
+#: First words of a window that are looked up before the whole window is hashed.
+HEAD = 3
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def _hashes(words: Column, length: int) -> Column:
-    """One hash per window of ``length`` words; empty for shorter texts."""
-    last = F.size(words) - length
+def _gram(words: Column, at: Column, length: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + k) for k in range(length)])
 
-    def at(i: Column) -> Column:
-        return F.xxhash64(*[F.get(words, i + k) for k in range(length)])
 
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), at)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def _bit_table(part: DataFrame, length: int) -> tuple[Column, int]:
+    """Bits of the hashed window starts as one literal array, and their number: 16 a start or more."""
+    heads = [h for (h,) in part.select(_gram(F.col("_window"), F.lit(0), min(length, HEAD))).distinct().collect()]  # bounded as the broadcast is
+    size = 1 << max(10, (16 * len(heads)).bit_length())
+    table = [0] * (size // 64)
+    for head in heads:
+        place = head % size
+        table[place // 64] |= 1 << place % 64
+    signed = (str(x - (1 << 64) if x >> 63 else x) for x in table)
+    return F.split(F.lit(",".join(signed)), ",").cast("array<bigint>"), size
+
+
+def _starts(words: Column, length: int, table: Column, size: int) -> Column:
+    """Places where the first words of some window may stand: one look into the bit table each."""
+
+    def known(at: Column) -> Column:
+        place = F.pmod(_gram(words, at, min(length, HEAD)), F.lit(size))
+        bits = F.get(table, F.shiftright(place, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", bits, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    last = F.size(words) - length
+    return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), known)).otherwise(F.array().cast("array<int>"))
 
 
 def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -55,10 +74,6 @@ def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     return windows.groupBy("_len", "_window").agg(F.collect_set("_item").alias("_items"))
 
 
-def _window_key(length: int) -> Column:
-    return F.xxhash64(*[F.get("_window", F.lit(k)) for k in range(length)])
-
-
 def _row_key() -> list[Column]:
     """Equal rows share a key, and with it their result."""
     return [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text")]
@@ -66,14 +81,16 @@ def _row_key() -> list[Column]:
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """Verified hits: row key (_id, _text), first word (from 0), length, item ids."""
-    windows = item_windows(benchmark, n).persist()
+    windows = stored(item_windows(benchmark, n), "test-windows")
     lengths = [r[0] for r in windows.select("_len").distinct().collect()]  # n values at most
     words = docs.select(*_row_key(), words_of(F.col("text")).alias("_words"))
     found = []
     for length in sorted(lengths):
-        own = windows.where(F.col("_len") == length).withColumn("_hash", _window_key(length))
+        own = windows.where(F.col("_len") == length).withColumn("_hash", _gram(F.col("_window"), F.lit(0), length))
         for part in broadcast_slices(own, "_hash", WINDOWS_PER_BROADCAST):
-            placed = words.select("_id", "_text", "_words", F.posexplode(_hashes(F.col("_words"), length)).alias("_at", "_hash"))
+            table, size = _bit_table(part, length)
+            starts = words.select("_id", "_text", "_words", F.explode(_starts(F.col("_words"), length, table, size)).alias("_at"))
+            placed = starts.withColumn("_hash", _gram(F.col("_words"), F.col("_at"), length))
             hit = placed.join(F.broadcast(part), "_hash")
             same = F.slice("_words", F.col("_at") + 1, F.lit(length)) == F.col("_window")
             found.append(hit.where(same).select("_id", "_text", "_at", "_len", "_items"))
