@@ -25,22 +25,13 @@ def null_aware_not_in(df: DataFrame, col: str, other: DataFrame, other_col: str)
     return kept.where(nothing_listed | no_null_listed)
 
 
-# Keys up to this number fit a broadcast with ease (ids are short).
-BROADCAST_KEYS = 500_000
-
-
 def without_keys(df: DataFrame, col: Column, keys: DataFrame) -> DataFrame:
-    """Rows of a wide ``df`` whose ``col`` is not among ``keys`` (its first column).
+    """Rows of ``df`` whose ``col`` is not among ``keys`` (its first column).
 
-    Counts the keys first, which runs a job: with none the rows pass as they are, a bounded number
-    is broadcast so that the wide rows are not shuffled, and beyond that both sides are.
+    One lazy anti join; the adaptive planner broadcasts the keys where their measured size allows.
     """
     listed = keys.select(F.col(keys.columns[0]).alias("__listed")).distinct()
-    number = listed.limit(BROADCAST_KEYS + 1).count()
-    if number == 0:
-        return df
-    side = F.broadcast(listed) if number <= BROADCAST_KEYS else listed
-    return df.join(side, col == F.col("__listed"), "left_anti")
+    return df.join(listed, col == F.col("__listed"), "left_anti")
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
@@ -57,36 +48,41 @@ def rank_rows(
 ) -> DataFrame:
     """Row number over ``coarse + fine`` order within ``keys``, for groups that may be huge.
 
-    Groups are split by the values of the ``coarse`` order columns: a window numbers the rows of
-    each small split, and the number of rows in the splits before it is added. Only the counts,
-    one row per distinct coarse value, are ever sorted for a whole group. The order is
-    ``(column, descending)`` pairs for the coarse part and sort expressions for the fine part.
+    Groups are split by the values of the ``coarse`` order columns, one column after the other: a
+    window numbers the rows of each smallest split, and every column adds the number of rows with
+    an earlier value. A window over a column holds one row per distinct value of it among rows that
+    agree in all columns before, never the rows of a group. The order is ``(column, descending)``
+    pairs for the coarse part and sort expressions for the fine part.
     """
+    outer = [f"__key_{i}" for i in range(len(keys))]
     names = [f"__coarse_{i}" for i in range(len(coarse))]
-    coarse_cols = [c for c, _ in coarse]
-    tagged = df.withColumns(dict(zip(names, [F.col(c) for c in coarse_cols])))
-    in_order = [
-        F.col(n).desc_nulls_first() if down else F.col(n).asc_nulls_last()
-        for n, (_, down) in zip(names, coarse)
-    ]
-    sizes = tagged.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.partitionBy(*keys).orderBy(*in_order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sizes.select(
-        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-        *[F.col(n).alias(f"{n}_o") for n in names],
-        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
-    )
-    local = tagged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*fine))
-    )
-    match = [F.col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
-    match += [F.col(n).eqNullSafe(F.col(f"{n}_o")) for n in names]
-    joined = local.join(offsets, match, "left")
+    tagged = df.withColumns(dict(zip([*outer, *names], [F.col(c) for c in [*keys, *[c for c, _ in coarse]]])))
+    sizes = tagged.groupBy(*outer, *names).agg(F.count(F.lit(1)).alias("__size"))
+    before = None
+    for level, (_, down) in enumerate(coarse):
+        own, above = [*outer, *names[: level + 1]], [*outer, *names[:level]]
+        here = sizes.groupBy(*own).agg(F.sum("__size").alias("__size"))
+        order = F.col(names[level]).desc_nulls_first() if down else F.col(names[level]).asc_nulls_last()
+        earlier = Window.partitionBy(*above).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        here = here.select(*own, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+        before = here if before is None else _add_before(here, before, above)
+    local = tagged.withColumn("__local", F.row_number().over(Window.partitionBy(*outer, *names).orderBy(*fine)))
+    joined = _same_keys(local, before, [*outer, *names])
     return joined.select(*df.columns, (F.col("__before") + F.col("__local")).alias(name))
 
 
+def _same_keys(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on equal values, with null equal to null; the keys of ``side`` are dropped."""
+    named = side.withColumnsRenamed({c: f"{c}_s" for c in on})
+    match = [F.col(c).eqNullSafe(F.col(f"{c}_s")) for c in on]
+    return df.join(named, match, "left").drop(*[f"{c}_s" for c in on])
+
+
+def _add_before(here: DataFrame, above: DataFrame, on: list[str]) -> DataFrame:
+    joined = _same_keys(here, above.withColumnRenamed("__before", "__above"), on)
+    return joined.withColumn("__before", F.col("__before") + F.col("__above")).drop("__above")
+
+
 def top_per_key(
     df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str | None = None
 ) -> DataFrame:

@@ -87,156 +87,35 @@ class Check:
             return accepted_values(df, self.column, list(self.values))
         if self.kind == "relationships":
             return relationships(df, self.column, tables[self.parent[0]], self.parent[1])
+        if self.kind == "unique_combination":
+            return unique_combination(df, list(self.values))
+        if self.kind == "slot_coverage":
+            return slot_coverage(df, tables[self.parent[0]])
         return {"not_null": not_null, "unique": unique, "seq_in_range": seq_in_range}[self.kind](
             df, self.column
         )
 
 
-def _declared(kind: str, listing: str) -> list[Check]:
-    """Checks from lines of ``table: column column ...``."""
-    pairs = [line.split(":") for line in listing.strip().splitlines()]
-    return [Check(kind, t.strip(), c) for t, cols in pairs for c in cols.split()]
-
-
-def _linked(listing: str) -> list[Check]:
-    """Relationship checks from lines of ``table: column>parent.key ...``."""
-    out = []
-    for line in listing.strip().splitlines():
-        table, links = line.split(":")
-        for link in links.split():
-            column, parent = link.split(">")
-            out.append(
-                Check("relationships", table.strip(), column, parent=tuple(parent.split(".")))
-            )
-    return out
-
-
-SIDES = (fv.RADIANT, fv.DIRE)
-
-KEYS = """
-stg_leagues: leagueid
-stg_teams: team_id
-stg_players: account_id
-stg_heroes: hero_id
-stg_constants: resource
-stg_hero_stats: hero_id
-stg_matches: match_id
-dim_hero: hero_id
-dim_player: account_id
-dim_team: team_id
-dim_league: leagueid
-dim_game_mode: game_mode_id
-dim_lobby_type: lobby_type_id
-dim_region: region_id
-dim_date: date
-dim_patch: patch_id
-dim_item: item_id
-dim_rune: rune_key
-fact_matches: match_id
-fact_hero_matchup_stats: matchup_label
-"""
-
-REQUIRED = """
-stg_match_players: match_id player_slot
-stg_picks_bans: match_id order_no
-stg_teamfights: match_id teamfight_id
-stg_match_player_minute: match_id player_slot minute gold xp last_hits denies
-stg_match_player_skills: match_id player_slot upgrade_index ability_id
-stg_match_player_item_purchases: match_id player_slot purchase_index item_internal_name time_sec minute
-stg_match_player_kills: match_id player_slot kill_index victim_hero_name time_sec
-stg_match_player_runes: match_id player_slot rune_key rune_count
-stg_match_player_damage: match_id player_slot target_key damage_amount
-stg_match_player_damage_taken: match_id player_slot source_key damage_amount
-stg_match_player_damage_taken_type: match_id player_slot inflictor_key damage_type damage_amount
-dim_hero_role: hero_id role
-dim_date: day_of_month month year quarter
-dim_item: item_name
-fact_matches: start_date leagueid game_mode_id lobby_type_id score_bucket
-fact_team_matches: match_id side team_id
-fact_match_players: match_id side comp_sig
-fact_hero_matchups: match_id radiant_hero_id dire_hero_id matchup_label radiant_win
-fact_team_h2h: match_id team_a_id team_b_id team_a_name team_b_name team_a_win
-fact_hero_matchups_hero: match_id hero_id opponent_id hero_name opponent_name matchup_label hero_win
-fact_picks_bans: match_id
-fact_draft_sequence: match_id slot
-fact_teamfights: match_id teamfight_id fight_phase
-fact_teamfight_players: match_id teamfight_id player_slot
-fact_teamfight_ability_uses: match_id teamfight_id player_slot ability_name uses
-fact_phase_momentum: match_id team_number side fight_phase phase_ord gold_delta fights
-fact_match_player_minute: match_id player_slot side minute gold xp level last_hits denies
-fact_match_player_skills: match_id player_slot side upgrade_index ability_id ability_name is_talent minute learn_level
-fact_match_player_item_purchases: match_id player_slot side purchase_index item_internal_name time_sec minute item_name
-fact_match_player_runes: match_id player_slot rune_key rune_count
-fact_match_player_damage: match_id player_slot target_key damage_amount
-fact_match_player_damage_taken: match_id player_slot source_key damage_amount
-fact_match_team_minute: match_id side minute team_gold team_xp
-fact_hero_side: hero_id side hero_side_picks hero_side_wins hero_side_win_rate
-fact_hero_matchup_stats: matchup_games radiant_wins dire_wins radiant_win_rate dire_win_rate
-"""
-
-LINKS = """
-dim_hero_role: hero_id>dim_hero.hero_id
-fact_matches: start_date>dim_date.date leagueid>dim_league.leagueid game_mode_id>dim_game_mode.game_mode_id lobby_type_id>dim_lobby_type.lobby_type_id region_id>dim_region.region_id patch>dim_patch.patch_id radiant_team_id>dim_team.team_id dire_team_id>dim_team.team_id
-fact_team_matches: match_id>fact_matches.match_id team_id>dim_team.team_id
-fact_match_players: match_id>fact_matches.match_id account_id>dim_player.account_id hero_id>dim_hero.hero_id item_0>dim_item.item_id
-fact_hero_matchups: match_id>fact_matches.match_id radiant_hero_id>dim_hero.hero_id dire_hero_id>dim_hero.hero_id
-fact_team_h2h: match_id>fact_matches.match_id team_a_id>dim_team.team_id team_b_id>dim_team.team_id
-fact_hero_matchups_hero: match_id>fact_matches.match_id hero_id>dim_hero.hero_id opponent_id>dim_hero.hero_id
-fact_picks_bans: match_id>fact_matches.match_id hero_id>dim_hero.hero_id
-fact_draft_sequence: match_id>fact_matches.match_id
-fact_teamfights: match_id>fact_matches.match_id
-fact_teamfight_players: match_id>fact_matches.match_id hero_id>dim_hero.hero_id account_id>dim_player.account_id
-fact_teamfight_ability_uses: match_id>fact_matches.match_id hero_id>dim_hero.hero_id account_id>dim_player.account_id
-fact_phase_momentum: match_id>fact_matches.match_id
-fact_match_player_minute: match_id>fact_matches.match_id account_id>dim_player.account_id hero_id>dim_hero.hero_id
-fact_match_player_skills: match_id>fact_matches.match_id account_id>dim_player.account_id hero_id>dim_hero.hero_id
-fact_match_player_item_purchases: match_id>fact_matches.match_id account_id>dim_player.account_id hero_id>dim_hero.hero_id
-fact_match_team_minute: match_id>fact_matches.match_id
-fact_hero_side: hero_id>dim_hero.hero_id
-"""
-
-SIDED = [
-    "fact_team_matches",
-    "fact_match_players",
-    "fact_phase_momentum",
-    "fact_match_player_minute",
-    "fact_match_player_skills",
-    "fact_match_player_item_purchases",
-    "fact_match_team_minute",
-    "fact_hero_side",
-]
-
 DECLARED_CHECKS: list[Check] = [
-    *_declared("not_null", KEYS),
-    *_declared("unique", KEYS),
-    *_declared("not_null", REQUIRED),
-    *_linked(LINKS),
-    *[Check("accepted_values", t, "side", SIDES) for t in SIDED],
-    Check("accepted_values", "stg_matches", "winner", ("radiant", "dire", "draw")),
-    Check("accepted_values", "stg_match_players", "team_number", ("0", "1")),
-    Check("accepted_values", "fact_picks_bans", "team_number", ("0", "1")),
-    Check(
-        "accepted_values",
-        "fact_teamfights",
-        "fight_phase",
-        (fv.PHASE_PREGAME, fv.PHASE_EARLY, fv.PHASE_MID, fv.PHASE_LATE),
-    ),
-    *_declared(
-        "seq_in_range",
-        "fact_draft_sequence: dire_pick_seq dire_ban_seq radiant_pick_seq radiant_ban_seq",
-    ),
+    *[Check(kind, t, c) for kind in ("not_null", "unique") for t, c in fv.KEY_COLUMNS],
+    *[Check("not_null", t, c) for t, columns in fv.REQUIRED_COLUMNS for c in columns],
+    *[Check("relationships", t, c, parent=(parent, key)) for t, c, parent, key in fv.REFERENCES],
+    *[Check("accepted_values", t, "side", (fv.RADIANT, fv.DIRE)) for t in fv.SIDED_TABLES],
+    *[Check("accepted_values", t, c, values) for t, c, values in fv.ACCEPTED],
+    *[Check("seq_in_range", t, c) for t, c in fv.NUMBERED_COLUMNS],
+    *[Check("unique_combination", t, ", ".join(columns), columns) for t, columns in fv.GRAINS],
+    *[Check("slot_coverage", t, c, parent=(drafts, "")) for t, c, drafts in fv.DRAFT_GRIDS],
 ]
 
 
 def _row_test(check: Check) -> Column | None:
     """Condition of a failing row, for checks that look at one row at a time."""
-    col = F.col(check.column)
     if check.kind == "not_null":
-        return col.isNull()
+        return F.col(check.column).isNull()
     if check.kind == "seq_in_range":
-        return col < 1
+        return F.col(check.column) < 1
     if check.kind == "accepted_values":
-        return ~col.isin(list(check.values))
+        return ~F.col(check.column).isin(list(check.values))
     return None
 
 

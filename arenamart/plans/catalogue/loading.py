@@ -61,18 +61,39 @@ def _team_files(spark: SparkSession, t) -> str:
 def _doc_per_file(spark: SparkSession, t) -> DataFrame:
     files = documents.read_files(spark, _team_files(spark, t), FOLDER_NAME)
     rows = documents.documents_by_key(files, "team_id", "bigint", F.lit(None).cast("timestamp"))
-    return rows.select(
-        "team_id",
-        F.get_json_object("payload", "$.name").alias("name"),
-        F.get_json_object("payload", "$.timestamp_fetched").alias("stamp"),
-    )
+    return rows.select("team_id", _written(F.col("payload")).alias("payload"))
+
+
+def _written(payload):
+    """The text writer ends every file with a line feed."""
+    return F.rtrim(payload, F.lit("\n"))
+
+
+TEAM_PAYLOADS = """SELECT s_suppkey AS team_id, CASE WHEN s_suppkey % 4 <> 0
+     THEN '{"team_id":' || s_suppkey || ',"name":"' || s_name || '"}'
+     ELSE '{"name":"' || s_name || '","timestamp_fetched":"2026-01-01T00:00:00Z"}' END AS payload
+FROM supplier"""
+add("src_doc_per_file", _doc_per_file, TEAM_PAYLOADS)
+
+
+def _quarantine(spark: SparkSession, t) -> DataFrame:
+    """A folder in which every third document is cut off."""
+    doc = F.expr(f"case when s_suppkey % 3 = 0 then substr({TEAM_DOC}, 1, 12) else {TEAM_DOC} end")
+    path = written_files(spark, t("supplier").select(F.col("s_suppkey").alias("name"), doc.alias("value")))
+    tables = documents.load_folder(spark, path, layout=[("teams", "*/*.txt", False)])
+    broken = tables["quarantine"].select("table", F.lit(None).cast("bigint").alias("team_id"), _written(F.col("value")).alias("text"))
+    return tables["teams"].select(F.lit("loaded").alias("table"), "team_id", F.col("payload").alias("text")).unionByName(broken)
 
 
 add(
-    "src_doc_per_file",
-    _doc_per_file,
-    "SELECT s_suppkey AS team_id, s_name AS name, CASE WHEN s_suppkey % 4 = 0"
-    " THEN '2026-01-01T00:00:00Z' END AS stamp FROM supplier",
+    "src_quarantine",
+    _quarantine,
+    """SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'teams' ELSE 'loaded' END AS "table",
+       CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END AS team_id,
+       CASE WHEN s_suppkey % 3 <> 0 THEN '{"team_id":' || s_suppkey || ',"name":"' || s_name || '"}'
+         WHEN s_suppkey % 4 = 0 THEN substr('{"name":"' || s_name, 1, 12)
+         ELSE substr('{"team_id":' || s_suppkey || ',"name"', 1, 12) END AS text
+    FROM supplier WHERE s_suppkey % 3 = 0 OR s_suppkey % 4 <> 0""",
 )
 
 
@@ -170,6 +191,38 @@ add(
 )
 
 
+add(
+    "append_new_members",
+    lambda spark, t: worklists.append_new_members(
+        t("supplier").selectExpr("cast(s_suppkey as string) as name"),
+        t("part").selectExpr(
+            "cast(p_partkey as string) as name",
+            "case when p_partkey % 3 = 0 then to_json(struct(p_size as n, 'old' as timestamp_fetched))"
+            " else cast(p_size as string) end as value",
+        ),
+        F.lit("2026-01-01T00:00:00Z"),
+    ),
+    """SELECT CAST(p_partkey AS VARCHAR) AS name, CASE WHEN p_partkey % 3 = 0
+         THEN '{"n":' || p_size || ',"timestamp_fetched":"2026-01-01T00:00:00Z"}'
+         ELSE CAST(p_size AS VARCHAR) END AS value
+    FROM part WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier)""",
+)
+add(
+    "append_by_first_useful_key",
+    lambda spark, t: worklists.append_by_first_useful_key(
+        t("part").selectExpr("p_name as name", "p_partkey as id"),
+        t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+            "p_name as name", "l_orderkey as id", "l_linenumber", "l_suppkey"
+        ),
+        F.lit("2026-01-01T00:00:00Z"),
+        ["l_linenumber", "l_suppkey", "name"],
+    ).select("id", "l_linenumber", "timestamp_fetched"),
+    """SELECT l_orderkey AS id, CAST(min(l_linenumber) AS BIGINT) AS l_linenumber,
+       '2026-01-01T00:00:00Z' AS timestamp_fetched
+    FROM lineitem WHERE l_orderkey NOT IN (SELECT p_partkey FROM part) GROUP BY 1""",
+)
+
+
 def _worklist(spark: SparkSession, t) -> DataFrame:
     return worklists.missing_worklist(
         t("orders").selectExpr("o_orderkey as id", "o_custkey % 27 as league"),
@@ -186,25 +239,32 @@ add(
     WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
       AND o_orderkey NOT IN (SELECT vec_id FROM embeddings)""",
 )
+def _leagues(t, tier: str, later: str) -> DataFrame:
+    """Customers as leagues; some are listed a second time with another tier."""
+    return t("customer").selectExpr(
+        "c_custkey as leagueid",
+        "case when c_custkey % 40 = 0 then concat('The International ', 1000 + c_custkey)"
+        " else c_name end as name",
+        f"case {tier} when 0 then 'premium' when 1 then 'professional' when 2 then 'amateur' end as tier",
+        f"c_custkey + {later} as at",
+    )
+
+
 add(
     "priority_worklist",
     lambda spark, t: worklists.priority_worklist(
-        t("customer").selectExpr(
-            "c_custkey as leagueid",
-            "case when c_custkey % 40 = 0 then concat('The International ', 1000 + c_custkey)"
-            " else c_name end as name",
-            "case c_nationkey % 4 when 0 then 'premium' when 1 then 'professional' when 2 then"
-            " 'amateur' end as tier",
-            "c_custkey as at",
+        _leagues(t, "c_nationkey % 4", "0").unionByName(
+            _leagues(t, "(c_nationkey + 1) % 4", "10000000").where("leagueid % 10 = 3")
         ),
         ["77", "40", "13"],
-    ).select("leagueid", "place.group", "place.within"),
+    ).select("leagueid", "place.group", "place.within", "place.at"),
     """SELECT * FROM (SELECT c_custkey AS leagueid, CAST(CASE WHEN f THEN 0
          WHEN c_custkey IN (77, 13) THEN 1 WHEN k = 0 THEN 2 WHEN k = 1 THEN 3 END AS BIGINT)
          AS "group",
        CASE WHEN f THEN 1000 + c_custkey WHEN c_custkey = 77 THEN 1 WHEN c_custkey = 13 THEN 3
-            ELSE 0 END AS within
-    FROM (SELECT *, c_custkey % 40 = 0 AND c_custkey < 9000 AS f, CAST(c_nationkey % 4 AS BIGINT) AS k
+            ELSE 0 END AS within, c_custkey AS at
+    FROM (SELECT *, c_custkey % 40 = 0 AND c_custkey < 9000 AS f,
+          CAST((c_nationkey + CASE WHEN c_custkey % 10 = 3 THEN 1 ELSE 0 END) % 4 AS BIGINT) AS k
           FROM customer)) WHERE "group" IS NOT NULL""",
 )
 
@@ -246,9 +306,11 @@ add(
 
 
 def _incremental_sink(spark: SparkSession, t) -> DataFrame:
-    """A part first, then everything twice: each row must be there once."""
+    """A refresh of wrong rows, a part, then everything twice: each row must be there once."""
     path = fresh_path(spark, "incremental")
     events = t("events").select("event_id", "user_id", "event_type")
+    sinks.incremental_sink(events.withColumn("user_id", -F.col("user_id")), path, ["event_id"])
+    sinks.incremental_sink(events.where("event_type = 'view'"), path, ["event_id"], full_refresh=True)
     sinks.incremental_sink(events.where("event_type = 'click'"), path, ["event_id"])
     sinks.incremental_sink(events, path, ["event_id"])
     return sinks.incremental_sink(events, path, ["event_id"])
@@ -358,22 +420,23 @@ def _stream_bronze(spark: SparkSession, t) -> DataFrame:
         micro_batch.stream_bronze(
             spark, folder, target, fresh_path(spark, "progress"), "teams", FOLDER_NAME
         ).awaitTermination()
-    return spark.read.parquet(target).select(
-        "team_id", F.get_json_object("payload", "$.name").alias("name")
-    )
+    return spark.read.parquet(target).select("team_id", _written(F.col("payload")).alias("payload"))
 
 
-add("stream_bronze", _stream_bronze, "SELECT s_suppkey AS team_id, s_name AS name FROM supplier")
+add("stream_bronze", _stream_bronze, TEAM_PAYLOADS)
 
 
 def _stream_silver(s: Star) -> DataFrame:
+    """Every match arrives again, changed; what was flattened first must stay as it is."""
     bronze, target = fresh_path(s.spark, "bronze"), fresh_path(s.spark, "silver")
+    progress = fresh_path(s.spark, "progress")
     columns = [f.name for f in schemas.bronze_schema("matches").fields]
-    s.driver.documents("logs").select(*columns).write.parquet(bronze)
-    micro_batch.stream_silver(
-        s.spark, bronze, target, fresh_path(s.spark, "progress"), "stg_match_player_kills"
-    ).awaitTermination()
-    return s.spark.read.parquet(target)
+    first = s.driver.documents("logs").select(*columns)
+    changed = first.withColumn("payload", F.replace("payload", F.lit("npc_dota_hero_"), F.lit("npc_dota_hero_9")))
+    for documents_of_day in (first, changed):
+        documents_of_day.write.mode("append").parquet(bronze)
+        micro_batch.stream_silver(s.spark, bronze, target, progress, "stg_match_player_kills").awaitTermination()
+    return s.spark.read.parquet(target).drop("batch")
 
 
 star("stream_silver", _stream_silver, "SELECT * FROM s_kills")

@@ -177,7 +177,7 @@ f_members AS (
 s_minutes AS (
   SELECT {WHO}, CAST(i * 60 AS DOUBLE) AS time_sec, i AS minute,
          CAST(floor(1000 * abs(CAST(embedding[i + 1] AS DOUBLE))) AS BIGINT) AS gold,
-         i * 600 AS xp, CASE WHEN i < 50 THEN i * 3 END AS last_hits, i AS denies
+         i * 600 AS xp, i * 3 AS last_hits, i AS denies
   FROM (SELECT vec_id AS ok, label % 7 + 1 AS ln, embedding, unnest(range(len(embedding))) AS i
         FROM embeddings WHERE vec_id % 5 <> 0)
   JOIN lines USING (ok, ln) JOIN orders ON o_orderkey = ok),

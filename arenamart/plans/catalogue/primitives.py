@@ -432,8 +432,9 @@ json(
         F.explode(F.from_json(F.get_json_object("doc", "$.counts"), "map<string,string>")).alias(
             "k", "v"
         ),
-    ).where("k = 'x'").select("event_id", "v"),
-    "SELECT event_id, CAST(event_id % 4 AS VARCHAR) AS v FROM events",
+    ),
+    "SELECT event_id, unnest(['x', event_type]) AS k,"
+    " CAST(unnest([event_id % 4, user_id]) AS VARCHAR) AS v FROM events",
 )
 PARTS = "struct<parts:array<struct<key:string,n:bigint>>>"
 json(
@@ -462,11 +463,18 @@ json(
     "json_object_explode",
     lambda d: d.select(
         "event_id", F.explode(F.from_json("doc", "map<string,string>")).alias("field", "value")
-    ).select("event_id", "field", C.json_kind(F.col("value")).alias("kind")).where(
-        "field in ('props', 'parts', 'user')"
+    ).select(
+        "event_id",
+        "field",
+        F.when(F.col("value").isNull(), "null")
+        # The map keeps the text of a string member without its quotes.
+        .when(F.col("field") == "type", "string")
+        .otherwise(C.json_kind(F.col("value")))
+        .alias("kind"),
     ),
-    "SELECT event_id, unnest(['props', 'parts', 'user']) AS field,"
-    " unnest(['object', 'array', 'number']) AS kind FROM events",
+    "SELECT event_id, unnest(['type', 'user', 'props', 'ids', 'parts', 'counts']) AS field,"
+    " unnest(['string', 'number', 'object', CASE WHEN event_id % 7 = 0 THEN 'null' ELSE 'array' END,"
+    " 'array', 'object']) AS kind FROM events",
 )
 json(
     "json_object_text_explode",

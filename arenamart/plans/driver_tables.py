@@ -205,7 +205,7 @@ class DriverTables:
                 f"transform(embedding, {at} cast(floor(1000 * abs(cast(e as double))) as int))"
                 " as gold_t",
                 f"transform(embedding, {at} i * 600) as xp_t",
-                f"slice(transform(embedding, {at} i * 3), 1, 50) as lh_t",
+                f"transform(embedding, {at} i * 3) as lh_t",
                 f"case when vec_id % 5 <> 0 then transform(embedding, {at} i) end as dn_t",
             )
         if name == "runes":

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arenamart.operators import checks, dimensions, facts, staging
 from arenamart.sources.documents import load_folder
@@ -54,6 +55,12 @@ def build_silver(nested: DataFrame, bronze: Tables, store: Store = lazily) -> Ta
     out = {name: store(name, model(nested)) for name, model in staging.MATCH_MODELS.items()}
     name = "stg_match_player_damage_taken_type"
     out[name] = store(name, staging.stg_match_player_damage_taken_type(nested, constants))
+    return out | reference_silver(bronze)
+
+
+def reference_silver(bronze: Tables) -> Tables:
+    """Silver models that do not come from match documents."""
+    constants, out = bronze["constants"], {}
     out["stg_constants"] = staging.stg_constants(constants)
     out["stg_heroes"] = staging.stg_heroes(constants)
     out["stg_hero_stats"] = staging.stg_hero_stats(bronze["hero_stats"])
@@ -172,6 +179,14 @@ def extend_silver(nested: DataFrame, constants: DataFrame, folder: str) -> Table
     return out
 
 
+def _unflattened(matches: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Bronze matches that the silver tables do not have yet; nothing of the others is parsed."""
+    if seen is None:
+        return matches
+    known = seen.select(F.col("match_id").cast("bigint").alias("__known"))
+    return matches.join(known, F.col("match_id") == F.col("__known"), "left_anti")
+
+
 def run_layers(
     spark: SparkSession,
     data_dir: str | None,
@@ -182,24 +197,41 @@ def run_layers(
     load: bool = True,
     build: bool = True,
     check: bool = True,
+    freshness: bool = True,
     snapshot: str | None = None,
+    extend: str | None = None,
+    full_refresh: bool = False,
 ) -> Tables:
-    """Load, build, check and copy, each with a switch. Every run writes below a new folder.
+    """Load, build, check, tell the age of the data and copy, each with a switch.
 
-    ``bronze`` are stored bronze tables to extend (or to build from, without loading). The result
-    holds all tables and, as ``check_summary``, the number of failing rows of each check.
+    Every run writes below a new folder. ``bronze`` are stored bronze tables to extend (or to build
+    from, without loading). With ``extend``, the folder of silver tables that outlive a run, only
+    matches not flattened there are parsed and appended; ``full_refresh`` builds all of silver anew
+    instead. The result holds all tables, ``quarantine`` after a load, the number of failing rows
+    of each check as ``check_summary``, and ``freshness``.
     """
     store = stored_under(folder)
     tables: Tables = dict(bronze or {})
     if load:
         loaded = load_folder(spark, data_dir, bronze)
+        known = tables.get("matches")
         tables |= {n: store(f"bronze_{n}", df) for n, df in loaded.items()}
+        if known is not None:
+            tables["matches"] = known.unionByName(tables["matches"])
+    if freshness:
+        tables["freshness"] = checks.freshness(tables["matches"], F.current_timestamp())
     if not build:
         return tables
-    nested = store("nested_matches", staging.parse_matches(tables["matches"]))
-    silver = build_silver(nested, tables, store)
-    gold = build_gold(silver, tables["constants"], rune_seed, store)
-    tables |= {"nested_matches": nested} | silver | gold
+    if extend and not full_refresh:
+        fresh = _unflattened(tables["matches"], stored(spark, f"{extend}/flattened_matches"))
+        nested = store("nested_matches", staging.parse_matches(fresh))
+        silver = extend_silver(nested, tables["constants"], extend) | reference_silver(tables)
+    else:
+        nested = store("nested_matches", staging.parse_matches(tables["matches"]))
+        silver = build_silver(nested, tables, store)
+    seed = rune_seed if rune_seed is not None else dimensions.rune_seed(spark)
+    gold = build_gold(silver, tables["constants"], seed, store)
+    tables |= {"nested_matches": nested, "rune_lookup": seed} | silver | gold
     if check:
         tables["check_summary"] = checks.summarize(tables)
     if snapshot:

@@ -13,14 +13,54 @@ TEXTS = T.ArrayType(TEXT)
 COUNTS = T.MapType(TEXT, TEXT)
 LOG = T.ArrayType(T.StructType([T.StructField("key", TEXT), T.StructField("time", TEXT)]))
 
-PLAYER_TEXT = (
-    "player_slot account_id hero_id team_number kills deaths assists gold gold_spent net_worth "
-    "gold_per_min xp_per_min hero_damage hero_healing tower_damage tower_kills stuns last_hits "
-    "denies camps_stacked creeps_stacked neutral_kills rune_pickups obs_placed sen_placed "
-    "observer_kills sentry_kills purchase_ward_observer purchase_ward_sentry personaname level "
-    "item_0 item_1 item_2 item_3 item_4 item_5 item_neutral backpack_0 backpack_1 backpack_2 "
-    "backpack_3 leaver_status randomed firstblood_claimed buyback_count"
-).split()
+PLAYER_TEXT = [
+    "player_slot",
+    "account_id",
+    "hero_id",
+    "team_number",
+    "kills",
+    "deaths",
+    "assists",
+    "gold",
+    "gold_spent",
+    "net_worth",
+    "gold_per_min",
+    "xp_per_min",
+    "hero_damage",
+    "hero_healing",
+    "tower_damage",
+    "tower_kills",
+    "stuns",
+    "last_hits",
+    "denies",
+    "camps_stacked",
+    "creeps_stacked",
+    "neutral_kills",
+    "rune_pickups",
+    "obs_placed",
+    "sen_placed",
+    "observer_kills",
+    "sentry_kills",
+    "purchase_ward_observer",
+    "purchase_ward_sentry",
+    "personaname",
+    "level",
+    "item_0",
+    "item_1",
+    "item_2",
+    "item_3",
+    "item_4",
+    "item_5",
+    "item_neutral",
+    "backpack_0",
+    "backpack_1",
+    "backpack_2",
+    "backpack_3",
+    "leaver_status",
+    "randomed",
+    "firstblood_claimed",
+    "buyback_count",
+]
 
 PLAYER_NESTED = {
     "obs_log": TEXTS,
@@ -41,25 +81,52 @@ PLAYER_NESTED = {
 
 PLAYER_IDENTITY = ["player_slot", "account_id", "hero_id"]
 
-MATCH_TEXT = (
-    "match_id radiant_win duration game_mode lobby_type region patch start_time radiant_score "
-    "dire_score radiant_team_id dire_team_id leagueid first_blood_time human_players "
-    "pre_game_duration replay_salt version timestamp_fetched"
-).split()
+MATCH_TEXT = [
+    "match_id",
+    "radiant_win",
+    "duration",
+    "game_mode",
+    "lobby_type",
+    "region",
+    "patch",
+    "start_time",
+    "radiant_score",
+    "dire_score",
+    "radiant_team_id",
+    "dire_team_id",
+    "leagueid",
+    "first_blood_time",
+    "human_players",
+    "pre_game_duration",
+    "replay_salt",
+    "version",
+    "timestamp_fetched",
+]
 
 PICK_BAN = T.ArrayType(
-    T.StructType([T.StructField(n, TEXT) for n in "is_pick hero_id team order player_slot".split()])
+    T.StructType([T.StructField(n, TEXT) for n in ["is_pick", "hero_id", "team", "order", "player_slot"]])
 )
 
 # The player list of a fight stays JSON text, as published.
 FIGHT = T.ArrayType(
-    T.StructType([T.StructField(n, TEXT) for n in "start end last_death deaths players".split()])
+    T.StructType([T.StructField(n, TEXT) for n in ["start", "end", "last_death", "deaths", "players"]])
 )
 
-FIGHT_PLAYER_TEXT = (
-    "damage healing deaths buybacks xp_start xp_end xp_delta gold_delta ability_uses item_uses "
-    "ability_targets killed deaths_pos"
-).split()
+FIGHT_PLAYER_TEXT = [
+    "damage",
+    "healing",
+    "deaths",
+    "buybacks",
+    "xp_start",
+    "xp_end",
+    "xp_delta",
+    "gold_delta",
+    "ability_uses",
+    "item_uses",
+    "ability_targets",
+    "killed",
+    "deaths_pos",
+]
 
 
 def fight_players(fields: list[str] = FIGHT_PLAYER_TEXT) -> T.ArrayType:

@@ -6,6 +6,8 @@ work, so they also serve documents that already sit in a table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from arenamart import fixed_values as fv
 from arenamart import schemas
 from arenamart.functions.columns import json_kind
 from arenamart.functions.relations import latest_per_key, without_keys
+from arenamart.session import fresh_path
 
 # The document name is the file name without its extension.
 FILE_STEM = r"([^/]+?)(\.[^./]*)?$"
@@ -34,16 +37,23 @@ def read_files(
 ) -> DataFrame:
     """One row per file: ``name``, ``path`` and the whole text as ``value``.
 
-    Spark packs many small files into one task. ``known`` (names in its first column) drops files
-    by their name before their text is looked at.
+    Spark packs many small files into one task. With ``known`` (names in its first column) the files
+    are listed first, and only those with another name are opened.
     """
+    if known is not None:
+        listed = spark.read.format("binaryFile").load(path).select("path")
+        names = listed.select(F.regexp_extract("path", name_pattern, 1).alias("name"), "path")
+        # Spark's file index holds all paths of a scan on the driver anyway.
+        fresh = [r["path"] for r in skip_existing(names, known).select("path").collect()]
+        if not fresh:
+            return spark.createDataFrame([], "name string, path string, value string")
+        path = fresh
     raw = spark.read.text(path, wholetext=True)
-    files = raw.select(
+    return raw.select(
         F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1).alias("name"),
         F.col("_metadata.file_path").alias("path"),
         "value",
     )
-    return skip_existing(files, known) if known is not None else files
 
 
 def skip_existing(files: DataFrame, known: DataFrame) -> DataFrame:
@@ -132,7 +142,7 @@ def last_per_key(rows: DataFrame, key: str, order: list[str], values: list[str])
     """One row per key, the last by ``order``.
 
     Documents are large and keys rarely repeat. Only rows whose key does repeat are aggregated; the
-    others pass without a shuffle of their payload.
+    others pass by an anti join with the few repeated keys.
     """
     repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
     single = without_keys(rows, F.col(key), repeated).select(key, *values)
@@ -148,22 +158,27 @@ def load_folder(
 ) -> dict[str, DataFrame]:
     """Bronze tables of a data folder, merged into existing ones.
 
-    For a folder that keeps growing use ``stream_bronze``, which never opens a file twice.
-
-    Matches never change, so files of loaded matches are skipped unread; all other records replace
-    the stored ones of the same key.
+    Matches never change, so files of loaded matches are not opened, and the table ``matches`` of the
+    result then holds the new ones only, to be appended; all other records replace the stored ones of
+    the same key. The files are read once, into a stored table that the winner per key is picked from.
+    Documents that are no valid JSON are set aside in the table ``quarantine`` (table, path, value).
     """
     existing = existing or {}
-    out = {}
+    out, broken = {}, []
     for table, glob, per_file in layout:
         key, kind = schemas.BRONZE_KEYS[table]
         old = existing.get(table)
         known = old.select(key) if old is not None and table == "matches" else None
         files = read_files(spark, f"{data_dir.rstrip('/')}/{glob}", known=known)
+        staged = f"{fresh_path(spark, 'load')}/{table}"
+        files.withColumn("readable", is_readable(F.col("value"))).write.partitionBy("readable").parquet(staged)
+        files = spark.read.schema("name string, path string, value string, readable boolean").parquet(staged)
+        broken.append(files.where("not readable").select(F.lit(table).alias("table"), "path", "value"))
         make = documents_by_key if per_file else elements_by_key
-        new = make(files, key, kind)
+        new = make(files.where("readable").drop("readable"), key, kind)
         new = last_per_key(new, key, ["path", "at"], ["payload", "loaded_at"])
-        out[table] = new if old is None else upsert_by_key(old, new, key)
+        out[table] = new if old is None or table == "matches" else upsert_by_key(old, new, key)
+    out["quarantine"] = reduce(DataFrame.unionByName, broken)
     return out
 
 

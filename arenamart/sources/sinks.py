@@ -56,21 +56,49 @@ def unseen_rows(df: DataFrame, target: DataFrame | None, keys: list[str]) -> Dat
     return df.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
+def one_per_grain(df: DataFrame, grain: list[str]) -> DataFrame:
+    """One row of each grain; of several, the one whose other values hash highest.
+
+    An aggregate that combines before the shuffle; reruns pick the same row.
+    """
+    rest = [c for c in df.columns if c not in grain]
+    if not rest:
+        return df.distinct()
+    picked = F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("__row")
+    return df.groupBy(*grain).agg(picked).select(*[F.col(c) if c in grain else F.col(f"__row.`{c}`") for c in df.columns])
+
+
 def incremental_sink(
-    df: DataFrame, path: str, keys: list[str], unique_key: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    keys: list[str],
+    unique_key: list[str] | None = None,
+    *,
+    full_refresh: bool = False,
 ) -> DataFrame:
     """Append the rows with unseen keys and return the table.
 
     Running it twice, or again after a failed run, adds nothing twice. With ``unique_key`` one row
-    of each grain is kept.
+    of each grain is kept. ``full_refresh`` replaces what is stored.
     """
-    fresh = unseen_rows(df, stored(df.sparkSession, path), keys)
+    fresh = df if full_refresh else unseen_rows(df, stored(df.sparkSession, path), keys)
     if unique_key:
-        fresh = fresh.dropDuplicates(unique_key)
-    fresh.write.mode("append").parquet(path)
+        fresh = one_per_grain(fresh, unique_key)
+    fresh.write.mode("overwrite" if full_refresh else "append").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def batch_sink(df: DataFrame, path: str, batch: int) -> None:
+    """Write the rows of one micro-batch to a folder of its own; a replay replaces it."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def before_batch(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
+    """What earlier batches wrote below ``path``; a replayed batch does not see itself."""
+    found = stored(spark, path)
+    return found.where(F.col("batch") < batch).drop("batch") if found is not None else None
+
+
 def snapshot_sink(
     tables: dict[str, DataFrame], folder: str, prefix: str = "gold", at: datetime | None = None
 ) -> str:

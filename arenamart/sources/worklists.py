@@ -100,10 +100,14 @@ def priority_worklist(
 ) -> DataFrame:
     """Leagues in fetch order: yearly finals by year, pinned ids, then the listed tiers.
 
-    ``leagues`` has leagueid, name, tier and ``at``, the position in the source list. Other leagues
+    ``leagues`` has leagueid, name, tier and ``at``, the position in the source list. A league that
+    is listed again keeps its first position and takes its last name and tier. Other leagues
     are dropped. ``place`` is a sort key, not a dense number: ordering rows takes one distributed
     sort, numbering them would take a single task.
     """
+    leagues = leagues.groupBy("leagueid").agg(
+        F.max_by("name", "at").alias("name"), F.max_by("tier", "at").alias("tier"), F.min("at").alias("at")
+    )
     year = F.regexp_extract("name", name_pattern, 1)
     is_final = year != ""
 

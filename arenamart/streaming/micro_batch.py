@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from arenamart import schemas
-from arenamart.operators.staging import GRAINS, MATCH_MODELS, parse_matches
-from arenamart.sources.documents import FILE_STEM, documents_by_key
-from arenamart.sources.sinks import incremental_sink
+from arenamart.operators.staging import (
+    GRAINS,
+    MATCH_MODELS,
+    parse_matches,
+    stg_match_player_damage_taken_type,
+)
+from arenamart.sources.documents import FILE_STEM, documents_by_key, is_readable, last_per_key
+from arenamart.sources.sinks import batch_sink, before_batch, one_per_grain, unseen_rows
 
 
 def stream_bronze(
@@ -37,9 +42,15 @@ def stream_bronze(
         )
     )
 
-    def load(batch: DataFrame, _: int) -> None:
-        rows = documents_by_key(batch, key, kind).select(key, "payload", "loaded_at")
-        incremental_sink(rows, target, [key], [key])
+    def load(batch: DataFrame, number: int) -> None:
+        readable = batch.where(is_readable(F.col("value")))
+        rows = documents_by_key(readable, key, kind).select(key, "payload", "loaded_at")
+        # Only the narrow key ledger of earlier batches is read, never stored payloads.
+        known = before_batch(spark, f"{target}_keys", number)
+        fresh = one_per_grain(unseen_rows(rows, known, [key]), [key])
+        batch_sink(fresh, target, number)
+        written = spark.read.parquet(f"{target}/batch={number}")
+        batch_sink(written.select(key), f"{target}_keys", number)
 
     return (
         files.writeStream.foreachBatch(load)
@@ -50,18 +61,33 @@ def stream_bronze(
 
 
 def stream_silver(
-    spark: SparkSession, bronze: str, target: str, checkpoint: str, model: str
+    spark: SparkSession,
+    bronze: str,
+    target: str,
+    checkpoint: str,
+    model: str,
+    constants: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Flatten matches that arrive in a bronze Parquet table into one silver table."""
+    """Flatten matches that arrive in a bronze Parquet table into one silver table.
+
+    A match is flattened once: which ones were is remembered beside the table, one folder per batch,
+    so a match that is sent again is skipped whole and a replayed batch replaces its own folders.
+    ``constants`` is needed by the model of typed damage.
+    """
+    flattened = dict(MATCH_MODELS)
+    flattened["stg_match_player_damage_taken_type"] = lambda nested: stg_match_player_damage_taken_type(nested, constants)
     documents = (
         spark.readStream.schema(schemas.bronze_schema("matches"))
         .option("recursiveFileLookup", "true")
         .parquet(bronze)
     )
 
-    def flatten(batch: DataFrame, _: int) -> None:
-        rows = MATCH_MODELS[model](parse_matches(batch, model))
-        incremental_sink(rows, target, GRAINS[model], GRAINS[model])
+    def flatten(batch: DataFrame, number: int) -> None:
+        once = last_per_key(batch, "match_id", ["loaded_at", "payload"], ["payload", "loaded_at"])
+        known = before_batch(spark, f"{target}_matches", number)
+        fresh = unseen_rows(once, known, ["match_id"])
+        batch_sink(one_per_grain(flattened[model](parse_matches(fresh, model)), GRAINS[model]), target, number)
+        batch_sink(fresh.select("match_id"), f"{target}_matches", number)
 
     return (
         documents.writeStream.foreachBatch(flatten)

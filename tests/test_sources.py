@@ -49,11 +49,20 @@ def test_second_load_skips_matches_and_replaces_the_rest(spark, folder, tmp_path
     write(tmp_path / "proMatches/4.json", {"match_id": 4})
     write(tmp_path / "leagues/leagues.json", [{"leagueid": 2, "name": "newest"}, {"leagueid": 9}])
     second = documents.load_folder(spark, folder, first)
-    matches = payloads(second["matches"], "match_id")
-    assert sorted(matches) == [1, 2, 3, 4] and "changed" not in matches[2]
+    assert payloads(second["matches"], "match_id") == {4: {"match_id": 4}}
     assert payloads(second["leagues"], "leagueid") == {1: {"leagueid": 1}, 2: {"leagueid": 2, "name": "newest"}, 9: {"leagueid": 9}}
 
 
+def test_known_files_are_not_opened_and_broken_ones_set_aside(spark, folder, tmp_path):
+    (tmp_path / "proMatches/5.json").write_text('{"match_id": 5,')
+    tables = documents.load_folder(spark, folder)
+    assert [(r.table, r.value) for r in tables["quarantine"].collect()] == [("matches", '{"match_id": 5,')]
+    assert sorted(payloads(tables["matches"], "match_id")) == [1, 2, 3]
+    known = spark.createDataFrame([(i,) for i in (1, 2, 3)], "match_id bigint")
+    again = documents.read_files(spark, f"{folder}/proMatches/*.json", known=known)
+    assert [f.rsplit("/", 1)[1] for f in again.inputFiles()] == ["5.json"]
+
+
 def test_strip_keeps_nested_values(spark):
     doc = '{"a": {"timestamp_fetched": 1, "b": [1, null]}, "timestamp_fetched": "x", "n": null}'
     df = spark.createDataFrame([(doc,), ("[1]",), ('{"a": 1}',), ("broken timestamp_fetched",)], "d string")
