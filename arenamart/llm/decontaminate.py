@@ -143,12 +143,13 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Data
     """All documents; hit words and what separates them from the next word leave the text."""
     columns = docs.columns
     hits = _hit_words(docs, benchmark, n).select("_id", "_text", "_places")
-    joined = _with_hits(docs.withColumns({"_id": F.col("doc_id"), "_text": F.xxhash64("text")}), hits)
+    joined = _with_hits(docs.select("text", *_row_key(), F.struct("*").alias("_row")), hits)
     pieces = F.regexp_extract_all("text", F.lit(f"({RAW_WORD}[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*)"), F.lit(1))
     lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
     left = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda s: ~F.array_contains("_places", s["i"]))
     text = F.concat(lead, F.array_join(F.transform(left, lambda s: s["p"]), ""))
-    return joined.withColumn("text", F.when(F.col("_places").isNull(), F.col("text")).otherwise(text)).select(*columns)
+    new = F.when(F.col("_places").isNull(), F.col("text")).otherwise(text).alias("text")
+    return joined.select(*[new if c == "text" else F.col("_row").getField(c).alias(c) for c in columns])
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -177,6 +177,14 @@ def covered(streams: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray
     return [c[0] for c in cut], [c[1] for c in cut], len(lists)
 
 
+def unique_runs(words: list[str], mask: np.ndarray) -> str:
+    """A block without what is covered. Shorter pieces at its ends stay: they belong to runs that
+    reach in from a neighbouring block, as a menu and the word after it."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask, [0]])))
+    gone = {i for a, b in edges.reshape(-1, 2) if b - a >= RUN or b - a == len(words) for i in range(a, b)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
 def extract_chunk(pages: list[str | None]) -> list[str]:
     """Main texts of the pages of one chunk of a host."""
     blocks = [blocks_of(p) for p in pages]
@@ -190,7 +198,8 @@ def extract_chunk(pages: list[str | None]) -> list[str]:
             mask = (in_all if inside else in_body)[at : at + len(words)]
             at += len(words)
             if inside == has_article:
-                text = text if not mask.any() else " ".join(w for w, gone in zip(words, mask, strict=True) if not gone)
+                if mask.any():
+                    text = unique_runs(words, mask)
                 if text:
                     kept.append(text)
         out.append("\n".join(kept))

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arenamart.llm.common import held_out, read, trainable
 
@@ -181,31 +182,32 @@ def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred, lang_score and lang_rejected."""
+    """Every document as the struct ``row``, with lang_pred, score and rejected."""
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(F.struct("*").alias("row"), letters.alias("_letters"), F.col("text").alias("_text"))
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0), "lang_rejected": F.lit(True)})
-    rows = docs.select(*docs.columns, letters.alias("_letters"), F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text")
-    scored = rows.mapInArrow(_scorer(model), f"{fields}, _lang string, _score double")
+        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    kind = rows.schema["row"].dataType
+    schema = T.StructType().add("row", kind).add("_letters", "boolean").add("_lang", "string").add("_score", "double")
+    scored = rows.mapInArrow(_scorer(model), schema)
     return scored.select(
-        *docs.columns,
+        "row",
         F.when(F.col("_letters"), F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(F.col("_letters"), F.col("_score")).otherwise(0.0).alias("lang_score"),
-        (~F.col("_letters") | (F.col("_score") < model.threshold)).alias("lang_rejected"),
+        F.when(F.col("_letters"), F.col("_score")).otherwise(0.0).alias("score"),
+        (~F.col("_letters") | (F.col("_score") < model.threshold)).alias("rejected"),
     )
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected for every document row."""
     out = with_language(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+    doc_id = F.col("row.doc_id")
+    return out.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """Documents whose language is not rejected, with their own columns."""
-    kept = docs.columns
-    return with_language(docs, model).where(~F.col("lang_rejected")).select(*kept)
+    return with_language(docs, model).where(~F.col("rejected")).select("row.*")
 
 
 def op1_language(spark, sf_dir: str) -> DataFrame:

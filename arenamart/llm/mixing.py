@@ -93,10 +93,9 @@ def with_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, with its own columns."""
-    kept = docs.columns
-    taken = with_copies(docs.withColumn("_size", count_words(F.col("text"))), weights, cap, seed)
-    repeated = taken.where(F.col("_copies") > 0).select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*kept)
+    rows = docs.select("doc_id", "source", count_words(F.col("text")).alias("_size"), F.struct("*").alias("_row"))
+    taken = with_copies(rows, weights, cap, seed).where(F.col("_copies") > 0)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
 
 
 def op7_mix(spark, sf_dir: str) -> DataFrame:

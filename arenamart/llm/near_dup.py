@@ -304,9 +304,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     equal = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n")).where("_n > 1")
     equal = equal.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    left = docs.join(gone, same, "left_anti")
+    left = docs.select("doc_id", "text", F.struct("*").alias("_row")).join(gone, same, "left_anti")
     once = left.join(equal, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(equal, same, "left_anti").union(once)
+    return left.join(equal, same, "left_anti").union(once).select("_row.*")
 
 
 def op2_near_dup(spark, sf_dir: str) -> DataFrame:

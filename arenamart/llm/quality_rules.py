@@ -27,14 +27,18 @@ MIN_WORDS = 50
 #: Labelled rows that the list is learned from: those with the smallest hash of their id.
 FIT_ROWS = 4_000
 CUTS = 24
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")
 LOW_31 = (1 << 31) - 1
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and n_upper, n_lines."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and n_upper, n_lines.
+
+    Columns that had these names before are replaced.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    kept = docs.columns
+    kept = [c for c in docs.columns if c not in STATISTICS]
     step = docs.select(
         *kept,
         split_words(F.col("text")).alias("_words"),
