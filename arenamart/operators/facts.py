@@ -723,7 +723,9 @@ def fact_hero_side(players: DataFrame) -> DataFrame:
 
 
 def _with_names(rows: DataFrame, people: DataFrame, heroes: DataFrame, hero: str) -> DataFrame:
-    rows = lookup(rows, people, "account_id", "account_id", {"player_name": "player_name"})
+    # Anonymous players have no account. Their rows are spread by match instead of one null key.
+    account = F.coalesce("account_id", F.concat(F.lit("?"), F.col("match_id")))
+    rows = lookup(rows, people, account, "account_id", {"player_name": "player_name"})
     return lookup(rows, heroes, "hero_id", "hero_id", {"hero_localized_name": hero})
 
 
