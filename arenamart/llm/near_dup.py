@@ -10,13 +10,13 @@
    with probability s * (1 - (1 - s)^BRANCHES)^(levels below), so that ``TREES`` independent trees miss
    fewer than one link in a million at s = 0.8.
 3. Candidates. Pairs whose signatures agree as far as s allows, less five standard deviations, are
-   linked, a spanning forest per node; the components of these links are the candidate groups.
+   linked, as stars per node; the components of these links are the candidate groups.
 4. Confirmation. Each candidate group gets the full sets of its members, once, and all its pairs are
    confirmed by exact intersection and union; pairs that are connected already are skipped. Groups of
    more than ``GROUP_SHINGLES`` are confirmed block against block. Components of the confirmed links
    are the result.
 
-No pair lists of groups are made: every step hands on spanning links, so rows grow with members. Shuffles
+No pair lists of groups are made: every step hands on stars, so rows grow with members. Shuffles
 carry hashes, never texts.
 
 Defined results: a null text, or one without words, has an empty set and is linked with nothing; a text
@@ -132,10 +132,33 @@ class Forest:
             i = self.up[i]
         return i
 
-    def join(self, i: int, j: int) -> bool:
+    def join(self, i: int, j: int) -> None:
         i, j = self.root(i), self.root(j)
         self.up[max(i, j)] = min(i, j)
-        return i != j
+
+    def stars(self, names: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Every member of a component with its smallest name: stars, which settle in few rounds."""
+        roots = [self.root(i) for i in range(len(names))]
+        least: dict[int, bytes] = {}
+        for name, root in zip(names, roots, strict=True):
+            least[root] = min(name, least.get(root, name))
+        return [(name, least[root]) for name, root in zip(names, roots, strict=True) if name != least[root]]
+
+
+def _batched(stars: Iterator[list[tuple[bytes, bytes]]], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of many small groups in batches of about ``rows``."""
+    held: list[tuple[bytes, bytes]] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in held], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    for pairs in stars:
+        held += pairs
+        if len(held) >= rows:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
 
 
 def least_agreement(percent: int) -> int:
@@ -156,10 +179,6 @@ def _alike(signs: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple
                 yield i, later
 
 
-def _links(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
-
-
 def _members(group: list[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct classes of a group, their set sizes and signatures."""
     rows = {c: (n, s) for b in group for c, n, s in zip(*(b.column(k).to_pylist() for k in ("class", "n_shingles", "sign")), strict=True)}
@@ -171,15 +190,16 @@ def _members(group: list[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray, np.n
 def _compare_signs(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spanning links of each node (rows sorted by node)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, bytes]]]:
         for group in contiguous(batches, ["node", "block"]):
             names, sizes, signs = _members(group)
             forest = Forest(len(names))
-            found = [(names[i], names[j]) for i, later in _alike(signs, sizes, percent) for j in map(int, later) if forest.join(i, j)]
-            if found:
-                yield _links(found)
+            for i, later in _alike(signs, sizes, percent):
+                for j in map(int, later):
+                    forest.join(i, j)
+            yield forest.stars(names)
 
-    return run
+    return lambda batches: _batched(stars(batches))
 
 
 def _blocks(rows: DataFrame, key: str, parts: F.Column) -> DataFrame:
@@ -235,23 +255,21 @@ def _with_sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spanning confirmed links of each candidate group, or pair of its blocks (rows sorted by group)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, bytes]]]:
         for group in contiguous(batches, ["root", "block"]):
             names, sizes, signs = _members(group)
             sets = {c: h for b in group for c, h in zip(b.column("class").to_pylist(), b.column("hashes").to_pylist(), strict=True)}
             full = [frozenset(np.frombuffer(sets.pop(c), np.uint64).tolist()) for c in names]
-            forest, found = Forest(len(names)), []
+            forest = Forest(len(names))
             for i, later in _alike(signs, sizes, percent):
                 for j in map(int, later):
                     if forest.root(i) != forest.root(j):
                         both = len(full[i] & full[j])
                         if 100 * both >= percent * (len(full[i]) + len(full[j]) - both):
                             forest.join(i, j)
-                            found.append((names[i], names[j]))
-            if found:
-                yield _links(found)
+            yield forest.stars(names)
 
-    return run
+    return lambda batches: _batched(stars(batches))
 
 
 def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:

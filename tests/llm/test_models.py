@@ -3,6 +3,7 @@
 import numpy as np
 from conftest import SF
 from edge_rows import edge, nothing  # noqa: F401
+from pyspark.sql import functions as F
 
 from arenamart.llm import language, quality_model
 from arenamart.llm.common import read
@@ -36,7 +37,7 @@ def test_language_edges(spark, edge, nothing):  # noqa: F811
 
 def test_clean_documents_are_not_rejected(spark):
     docs = read(spark, SF, "documents")
-    assert language.keep_known(docs, language.learn(docs)).count() == docs.where("text rlike '[a-z]'").count()
+    assert language.keep_known(docs, language.learn(docs)).count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
 
 
 def test_subwords_do_not_depend_on_blocks(monkeypatch):
@@ -55,12 +56,15 @@ def test_scores_equal_embeddings_times_weights():
 
 
 def test_quality_of_held_out_documents(spark):
-    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    rows = quality_model.op6_quality(spark, SF).collect()
+    # the smallest tables have 19 held-out labels, too few for a share
+    tables = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{tables}/labels.parquet").collect()}
+    rows = quality_model.op6_quality(spark, tables).collect()
     held = [r for r in rows if r.held_out and r.doc_id in truth]
-    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.9 * len(held)
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.95 * len(held)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
-    assert quality_model.op6_quality(spark, SF).exceptAll(spark.createDataFrame(rows, quality_model.op6_quality(spark, SF).schema)).count() == 0
+    again = quality_model.op6_quality(spark, tables).collect()
+    assert sorted(again) == sorted(rows)
 
 
 def test_quality_edges(spark, edge, nothing):  # noqa: F811
