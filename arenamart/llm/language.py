@@ -6,9 +6,10 @@ embedding table. The embeddings of a whole text are averaged and a linear softma
 Table and softmax are trained together in numpy by stochastic gradient descent. As average and softmax
 are linear, scoring uses their product: one row of language scores per bucket.
 
-A temperature, fitted on documents that training left out, calibrates the probabilities. The rejection
+Training sees every chosen text whole and ``FRAGMENTS`` short pieces of it, so that short texts are known
+too. A temperature, fitted on texts that training left out, calibrates the probabilities. The rejection
 threshold is the ``REJECT_SHARE`` quantile of the probabilities of rightly predicted ones among them, and
-one half at most.
+``MOST_ASKED`` at most.
 
 Training takes at most ``PER_LANGUAGE`` labelled documents of each language (those with the smallest hash
 of their id), whole texts, outside the held-out fold.
@@ -35,8 +36,12 @@ PER_LANGUAGE = 400
 BUCKETS = 1 << 14
 WIDTH = 16
 EPOCHS = 12
+#: Bytes of the short pieces of a training text, about.
+FRAGMENTS = (18, 30, 45, 70)
 RATE = 0.5
 REJECT_SHARE = 0.001
+#: The threshold asks for no more than this probability.
+MOST_ASKED = 0.4
 #: Bytes that are worked on at once, in training and scoring.
 BLOCK = 1 << 20
 UNKNOWN = "und"
@@ -84,18 +89,21 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
-    """From (language, buckets, shares) per text. Every fifth text is left out and calibrates."""
+def train(rows: list[tuple[str, np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
+    """From (language, buckets, shares, number of the text) per whole text or piece of one.
+
+    Every fifth text is left out, with its pieces, and calibrates.
+    """
     languages = sorted({r[0] for r in rows})
     at = {x: i for i, x in enumerate(languages)}
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH))
     weights, bias = rng.normal(0, 0.1, (WIDTH, len(languages))), np.zeros(len(languages))
-    fit = [i for i in range(len(rows)) if i % 5] or list(range(len(rows)))
+    fit = [i for i, r in enumerate(rows) if r[3] % 5] or list(range(len(rows)))
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(fit):
-            language, buckets, shares = rows[i]
+            language, buckets, shares, _ = rows[i]
             average = shares @ table[buckets]
             error = softmax((average @ weights + bias)[None])[0]
             error[at[language]] -= 1
@@ -105,8 +113,8 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
             # The share is each bucket's part of the gradient; scaled up, as shares are small.
             table[buckets] -= rate * 20 * np.outer(shares, back)
     scores = table @ weights
-    left_out = [r for i, r in enumerate(rows) if not i % 5]
-    logits = np.array([shares @ scores[buckets] for _, buckets, shares in left_out]).reshape(-1, len(languages)) + bias
+    left_out = [r for r in rows if not r[3] % 5]
+    logits = np.array([shares @ scores[buckets] for _, buckets, shares, _ in left_out]).reshape(-1, len(languages)) + bias
     truth = np.array([at[r[0]] for r in left_out], dtype=int)
 
     def loss(t: float) -> float:
@@ -116,18 +124,30 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
     temperature = min(np.geomspace(0.1, 10, 60), key=loss) if len(truth) else 1.0
     p = softmax(logits / temperature) if len(truth) else np.zeros((0, 1))
     right = p.max(axis=1)[p.argmax(axis=1) == truth] if len(truth) else np.zeros(0)
-    threshold = min(0.5, float(np.quantile(right, REJECT_SHARE, method="lower"))) if len(right) else 0.0
+    threshold = min(MOST_ASKED, float(np.quantile(right, REJECT_SHARE, method="lower"))) if len(right) else 0.0
     return Model(languages, scores.astype(np.float32), bias, float(temperature), threshold)
 
 
+def pieces(text: bytes) -> list[bytes]:
+    """The whole text, and pieces of it that start behind a space; none of a short text."""
+    found = [text]
+    for k, size in enumerate(FRAGMENTS):
+        start = text.find(b" ", len(text) * k // len(FRAGMENTS)) + 1
+        if len(text) > 2 * sum(FRAGMENTS) and start:
+            found.append(text[start : start + size].rpartition(b" ")[0] or text[start : start + size])
+    return found
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [bucket_counts((t or "").encode()) for t in batch.column("text").to_pylist()]
+        parts = [pieces((t or "").encode()) for t in batch.column("text").to_pylist()]
+        row = pa.array([i for i, p in enumerate(parts) for _ in p], pa.int64())
+        counts = [bucket_counts(x) for p in parts for x in p]
         places = [np.flatnonzero(c) for c in counts]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
-                batch.column("lang"),
+                batch.column("doc_id").take(row),
+                batch.column("lang").take(row),
                 pa.array(places, pa.list_(pa.int32())),
                 pa.array([c[p] for c, p in zip(counts, places, strict=True)], pa.list_(pa.int64())),
             ],
@@ -145,10 +165,11 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     found = texts.mapInArrow(_features, "doc_id bigint, lang string, buckets array<int>, counts array<bigint>").collect()
     if not found:
         return None
-    rows = []
+    rows, number = [], {}
     for r in sorted(found, key=lambda r: (r["doc_id"], r["lang"], r["buckets"])):
         counts = np.array(r["counts"], dtype=np.float64)
-        rows.append((r["lang"], np.array(r["buckets"]), counts / counts.sum()))
+        place = number.setdefault(r["doc_id"], len(number))
+        rows.append((r["lang"], np.array(r["buckets"]), counts / counts.sum(), place))
     return train(rows)
 
 

@@ -49,7 +49,7 @@ def test_subwords_do_not_depend_on_blocks(monkeypatch):
 
 
 def test_scores_equal_embeddings_times_weights():
-    rows = [(x, np.array([i % 2, 5]), np.array([0.7, 0.3])) for i, x in enumerate("ab" * 20)]
+    rows = [(x, np.array([i % 2, 5]), np.array([0.7, 0.3]), i) for i, x in enumerate("ab" * 20)]
     model = language.train(rows)
     p = model.probabilities(np.array([0.7 * model.scores[i] + 0.3 * model.scores[5] for i in (0, 1)]))
     assert [model.languages[i] for i in p.argmax(axis=1)] == ["a", "b"]
