@@ -324,8 +324,8 @@ def _fight_members(fights: DataFrame, fields: list[str], *keep: str) -> DataFram
 
 def fact_teamfight_players(fights: DataFrame, players: DataFrame) -> DataFrame:
     """One row per (fight, position); position gives the slot, the slot the player."""
-    numbers = "damage healing deaths buybacks xp_start xp_end xp_delta gold_delta".split()
-    texts = "ability_uses item_uses ability_targets killed deaths_pos".split()
+    numbers = ["damage", "healing", "deaths", "buybacks", "xp_start", "xp_end", "xp_delta", "gold_delta"]
+    texts = ["ability_uses", "item_uses", "ability_targets", "killed", "deaths_pos"]
     rows = _fight_members(
         fights, [*numbers, *texts], "start_time", "end_time", "loaded_at"
     ).select(
@@ -568,21 +568,26 @@ def fact_match_players(
         extra += [F.col(f"__found_{i}.{v}").alias(v) for v in values]
     enriched = rows.select("*", team_side(F.col("team_number")).alias("side"), *extra)
     return enriched.select(
-        *"match_id player_slot account_id hero_id team_number side team_win comp_sig".split(),
-        *"hero_games hero_win_rate top_skills".split(),
+        "match_id", "player_slot", "account_id", "hero_id", "team_number", "side", "team_win",
+        "comp_sig",
+        "hero_games", "hero_win_rate", "top_skills",
         *[f"{slot}_name" for slot in ITEM_SLOTS],
-        *"gold_early gold_mid gold_late xp_early xp_mid xp_late".split(),
-        *"kills deaths assists kda gold gold_spent net_worth gold_per_min xp_per_min".split(),
-        *"hero_damage hero_healing tower_damage tower_kills stuns last_hits denies".split(),
-        *"camps_stacked creeps_stacked neutral_kills rune_pickups obs_placed sen_placed".split(),
-        *"observer_kills sentry_kills purchase_ward_observer purchase_ward_sentry level".split(),
-        *"pick_sequence ban_sequence enemy_heroes_killed".split(),
+        "gold_early", "gold_mid", "gold_late", "xp_early", "xp_mid", "xp_late",
+        "kills", "deaths", "assists", "kda", "gold", "gold_spent", "net_worth", "gold_per_min",
+        "xp_per_min",
+        "hero_damage", "hero_healing", "tower_damage", "tower_kills", "stuns", "last_hits",
+        "denies",
+        "camps_stacked", "creeps_stacked", "neutral_kills", "rune_pickups", "obs_placed",
+        "sen_placed",
+        "observer_kills", "sentry_kills", "purchase_ward_observer", "purchase_ward_sentry",
+        "level",
+        "pick_sequence", "ban_sequence", "enemy_heroes_killed",
         *[column for _, column, _ in fv.SUPPORT_ITEMS],
         "support_gold",
         *[f"damage_taken_{kind.lower()}" for kind in fv.DAMAGE_TYPES],
         *ITEM_SLOTS,
-        *"backpack_0 backpack_1 backpack_2 backpack_3 leaver_status randomed".split(),
-        *"firstblood_claimed buyback_count loaded_at".split(),
+        "backpack_0", "backpack_1", "backpack_2", "backpack_3", "leaver_status", "randomed",
+        "firstblood_claimed", "buyback_count", "loaded_at",
     )
 
 
@@ -692,13 +697,8 @@ def _matchup_summary(rows: DataFrame, games: Column) -> DataFrame:
     )
 
 
-def fact_hero_matchup_stats(matchups: DataFrame) -> DataFrame:
-    """Games and win rates per matchup label, from the stored pairing fact."""
-    return _matchup_summary(matchups, F.lit(1).cast("bigint"))
-
-
-def hero_matchup_stats(players: DataFrame, matches: DataFrame, heroes: DataFrame) -> DataFrame:
-    """The same figures straight from player rows: pairings are weighted, never multiplied out."""
+def fact_hero_matchup_stats(players: DataFrame, matches: DataFrame, heroes: DataFrame) -> DataFrame:
+    """Games and win rates per matchup label; pairings are weighted, never multiplied out."""
     pairs = hero_pairs(players, matches).groupBy(
         "radiant_hero_id", "dire_hero_id", "radiant_win"
     ).agg(F.sum("games").alias("games"))
@@ -750,8 +750,9 @@ def fact_match_player_minute(
     rows = rows.withColumn("level", level_for_xp(F.col("steps"), F.col("xp")))
     rows = _with_names(rows, people, heroes, "hero_localized_name")
     return rows.select(
-        *"match_id player_slot account_id hero_id side minute time_sec gold xp level".split(),
-        *"last_hits denies player_name hero_localized_name".split(),
+        "match_id", "player_slot", "account_id", "hero_id", "side", "minute", "time_sec", "gold",
+        "xp", "level",
+        "last_hits", "denies", "player_name", "hero_localized_name",
     )
 
 
@@ -822,7 +823,7 @@ def fact_match_player_skills(
     ).otherwise(F.trim(F.regexp_replace(raw_name, fv.TALENT_TEMPLATE, "")))
     reached = F.try_element_at(F.col("level_minute"), learn_level.cast("int"))
     return rows.select(
-        *"match_id player_slot account_id hero_id side upgrade_index ability_id".split(),
+        "match_id", "player_slot", "account_id", "hero_id", "side", "upgrade_index", "ability_id",
         internal.alias("ability_internal_name"),
         talent.alias("is_talent"),
         F.when(talent, talent_name).otherwise(raw_name).alias("ability_name"),
@@ -855,7 +856,7 @@ def fact_match_player_runes(
     rows = lookup(runes, rune_names, "rune_key", "rune_key", {"rune_name": "__rune"})
     rows = _with_names(rows, people, heroes, "hero_localized_name")
     return rows.select(
-        *"match_id player_slot account_id hero_id side rune_key".split(),
+        "match_id", "player_slot", "account_id", "hero_id", "side", "rune_key",
         F.coalesce("__rune", F.col("rune_key").cast("string")).alias("rune_name"),
         "rune_count",
         "player_name",
@@ -878,7 +879,7 @@ def damage_fact(damage: DataFrame, people: DataFrame, heroes: DataFrame, unit: s
     rows = lookup(damage, heroes, key, "hero_name", other)
     rows = _with_names(rows, people, heroes, "hero_name")
     return rows.select(
-        *f"match_id player_slot account_id hero_id side {key}".split(),
+        *["match_id", "player_slot", "account_id", "hero_id", "side", key],
         unit_category(F.col(key), F.col("__unit_hero").isNotNull()).alias(f"{unit}_category"),
         F.coalesce("__unit_name", key).alias(f"{unit}_name"),
         "damage_amount",

@@ -71,7 +71,7 @@ def stg_matches(nested: DataFrame) -> DataFrame:
     radiant_win = F.col("radiant_win").cast("boolean")
     text = {
         n: blank_to_null(F.col(n))
-        for n in "game_mode lobby_type region patch radiant_team_id dire_team_id".split()
+        for n in ["game_mode", "lobby_type", "region", "patch", "radiant_team_id", "dire_team_id"]
     }
     return nested.select(
         "match_id",
@@ -338,7 +338,7 @@ def resource_records(constants: DataFrame, resource: str, record_type: str) -> D
 
 
 def stg_heroes(constants: DataFrame) -> DataFrame:
-    fields = "localized_name primary_attr attack_type roles img".split()
+    fields = ["localized_name", "primary_attr", "attack_type", "roles", "img"]
     entry = "struct<name:string," + ",".join(f"{f}:string" for f in fields) + ">"
     return resource_entries(constants, "heroes", entry).select(
         F.col("key").alias("hero_id"),
@@ -354,7 +354,7 @@ def _records(bronze: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 
 def stg_hero_stats(hero_stats: DataFrame) -> DataFrame:
-    counts = "pro_pick pro_win pro_ban pub_pick pub_win".split()
+    counts = ["pro_pick", "pro_win", "pro_ban", "pub_pick", "pub_win"]
     rows = _records(hero_stats, "id", counts).select(
         F.col("id").alias("hero_id"), *[to_int(F.col(n)).alias(n) for n in counts]
     )

@@ -322,17 +322,24 @@ add("incremental_sink", _incremental_sink, "SELECT event_id, user_id, event_type
 def _snapshot(spark: SparkSession, t) -> DataFrame:
     tables = {n: t(n) for n in ("customer", "orders", "part")}
     root = sinks.snapshot_sink(tables, fresh_path(spark, "snapshots"), "gold", datetime(2026, 1, 2))
-    copies = {n: spark.read.parquet(f"{root}/{n}") for n in tables}
-    return sinks.row_counts(copies).withColumn("folder", F.lit(root.rsplit("/", 1)[1]))
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey"}
+    copies = [
+        spark.read.parquet(f"{root}/{n}").select(
+            F.lit(root.rsplit("/", 1)[1]).alias("folder"), F.lit(n).alias("table"), F.col(k).alias("key"),
+            F.col(text).alias("text"),
+        )
+        for (n, k), text in zip(keys.items(), ("c_name", "o_orderpriority", "p_name"))
+    ]
+    return copies[0].unionByName(copies[1]).unionByName(copies[2])
 
 
 add(
     "snapshot_sink",
     _snapshot,
-    """SELECT *, 'gold_20260102_000000' AS folder FROM (
-       SELECT 'customer' AS "table", count(*) AS "rows" FROM customer
-       UNION ALL SELECT 'orders', count(*) FROM orders
-       UNION ALL SELECT 'part', count(*) FROM part)""",
+    """SELECT 'gold_20260102_000000' AS folder, * FROM (
+       SELECT 'customer' AS "table", c_custkey AS key, c_name AS text FROM customer
+       UNION ALL SELECT 'orders', o_orderkey, o_orderpriority FROM orders
+       UNION ALL SELECT 'part', p_partkey, p_name FROM part)""",
 )
 
 
@@ -343,6 +350,7 @@ def _analyze(spark: SparkSession, t) -> DataFrame:
     spark.sql(f"create table {name} using parquet location '{path}'")
     sinks.analyze_tables(spark, [name])
     found = spark.sql(f"describe extended {name} o_custkey")
+    spark.sql(f"drop table {name}")
     return found.where("info_name in ('min', 'max', 'num_nulls')").select(
         F.col("info_name").alias("stat"), F.col("info_value").cast("bigint").alias("value")
     )

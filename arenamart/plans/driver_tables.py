@@ -35,9 +35,18 @@ INFLICTOR_KEY = (
 DAMAGE_KIND = (
     "case id % 4 when 0 then 'Magical' when 1 then 'Pure' when 2 then 'Physical' else 'Odd' end"
 )
-RESOURCES = (
-    "heroes items item_ids abilities ability_ids game_mode lobby_type region patch xp_level"
-).split()
+RESOURCES = [
+    "heroes",
+    "items",
+    "item_ids",
+    "abilities",
+    "ability_ids",
+    "game_mode",
+    "lobby_type",
+    "region",
+    "patch",
+    "xp_level",
+]
 
 # Player fields in the order of the schema: name -> expression over the aggregated lines.
 PLAYER_EXPR = {
@@ -343,7 +352,7 @@ class DriverTables:
             as_text = F.transform(
                 "teamfights",
                 lambda f: F.struct(
-                    *[f[n].cast("string").alias(n) for n in "start end last_death deaths".split()],
+                    *[f[n].cast("string").alias(n) for n in ["start", "end", "last_death", "deaths"]],
                     F.to_json(f["players"], options).alias("players"),
                 ),
             )

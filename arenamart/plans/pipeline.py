@@ -146,7 +146,10 @@ def build_gold(
         "fact_match_player_runes",
         facts.fact_match_player_runes(s["stg_match_player_runes"], g["dim_rune"], people, heroes),
     )
-    add("fact_hero_matchup_stats", facts.fact_hero_matchup_stats(g["fact_hero_matchups"]))
+    add(
+        "fact_hero_matchup_stats",
+        facts.fact_hero_matchup_stats(performance, g["fact_matches"], heroes),
+    )
     add("fact_hero_matchups_hero", facts.fact_hero_matchups_hero(g["fact_hero_matchups"], heroes))
     add(
         "fact_match_player_skills",
