@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from arenamart.llm.common import held_out, read, trainable
 
 PER_LANGUAGE = 400
+CELLS = 64
 BUCKETS = 1 << 14
 WIDTH = 16
 EPOCHS = 12
@@ -159,9 +160,13 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Trains on a bounded sample of labelled rows; None where no row has a label."""
     known = docs.where(trainable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     ids = known.select("doc_id", "lang")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("_n", nth).where(F.col("_n") <= per_language).select("doc_id").distinct()
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").drop("n")
+    # Cells of a language are limited first, so that no task sorts all ids of one.
+    ids = ids.withColumns({"_hash": F.xxhash64("doc_id"), "_cell": F.crc32(F.col("doc_id").cast("string").cast("binary")) % CELLS})
+    for keys in (["lang", "_cell"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_hash", "doc_id"))
+        ids = ids.withColumn("_n", nth).where(F.col("_n") <= per_language).drop("_n")
+    chosen = ids.select("doc_id").distinct()
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")
     found = texts.mapInArrow(_features, "doc_id bigint, lang string, buckets array<int>, counts array<bigint>").collect()
     if not found:
         return None
