@@ -5,7 +5,8 @@
    signature of ``COORDINATES`` further minwise tokens.
 2. Trees. Every tree branches the classes by its root token. A node with more than ``NODE`` members is
    branched again by ``BRANCHES`` signature tokens that its path chooses, up to ``DEPTH`` levels; small
-   nodes are compared exhaustively by signature. Nodes that are still large at the last level are
+   nodes are compared exhaustively, first by one bit of each coordinate, so that members without a
+   likely partner leave before the signatures are fetched, then by signature. Nodes that are still large at the last level are
    compared whole, block against block. Two classes at the threshold s share a small node of one tree
    with probability s * (1 - (1 - s)^BRANCHES)^(levels below), so that ``TREES`` independent trees miss
    fewer than one link in a million at s = 0.8.
@@ -90,14 +91,16 @@ def _sketch(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                sizes, names, roots, signs = [], [], [], []
+                sizes, names, roots, bits, signs = [], [], [], [], []
                 for text in batch.column("text").to_pylist():
                     found = shingles(text, size)
                     sizes.append(len(found))
                     tokens = minwise(found) if len(found) else None
                     names.append(None if tokens is None else class_of(found))
                     roots.append(None if tokens is None else tokens[:TREES].astype(np.int64))
-                    signs.append(None if tokens is None else (tokens[TREES:] >> np.uint64(48)).astype("<u2").tobytes())
+                    sign = None if tokens is None else (tokens[TREES:] >> np.uint64(48)).astype("<u2")
+                    bits.append(None if sign is None else np.packbits(sign & 1).tobytes())
+                    signs.append(None if sign is None else sign.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
@@ -105,9 +108,10 @@ def _sketch(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                         pa.array(sizes, pa.int64()),
                         pa.array(names, pa.binary()),
                         pa.array(roots, pa.list_(pa.int64())),
+                        pa.array(bits, pa.binary()),
                         pa.array(signs, pa.binary()),
                     ],
-                    ["doc_id", "text_hash", "n_shingles", "class", "roots", "sign"],
+                    ["doc_id", "text_hash", "n_shingles", "class", "roots", "bits", "sign"],
                 )
 
     return run
@@ -116,7 +120,7 @@ def _sketch(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, class binary, roots array<bigint>, sign binary"
+    schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, class binary, roots array<bigint>, bits binary, sign binary"
     return stored(rows.mapInArrow(_sketch(size), schema), "sketches")
 
 
@@ -187,6 +191,42 @@ def _members(group: list[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray, np.n
     return list(rows), sizes, signs
 
 
+def least_equal_bits(percent: int) -> int:
+    """As ``least_agreement`` for one bit of each coordinate; half of unequal coordinates agree in it."""
+    s = (1 + percent / 100) / 2
+    return int(COORDINATES * s - 5 * (COORDINATES * s * (1 - s)) ** 0.5)
+
+
+def _likely(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Members of each node that have a partner by their bits (rows sorted by node)."""
+    most = COORDINATES - least_equal_bits(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, bytes]] = []
+
+        def batch() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([h[k] for h in held], t) for k, t in enumerate(kinds)], ["node", "block", "class"])
+
+        for group in contiguous(batches, ["node", "block"]):
+            names = [c for b in group for c in b.column("class").to_pylist()]
+            bits = np.frombuffer(b"".join(x for b in group for x in b.column("bits").to_pylist()), "<u8").reshape(len(names), -1)
+            paired = np.zeros(len(names), bool)
+            for i in range(len(names) - 1):
+                near = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1) <= most
+                paired[i] |= near.any()
+                paired[i + 1 :] |= near
+            node, block = group[0].column("node")[0].as_py(), group[0].column("block")[0].as_py()
+            held += [(node, block, names[i]) for i in np.flatnonzero(paired)]
+            if len(held) >= 20_000:
+                yield batch()
+                held = []
+        if held:
+            yield batch()
+
+    return run
+
+
 def _compare_signs(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spanning links of each node (rows sorted by node)."""
 
@@ -214,18 +254,21 @@ def _blocks(rows: DataFrame, key: str, parts: F.Column) -> DataFrame:
 def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
     """Spanning links (a, b) of the tree nodes, by signature."""
     roots = F.posexplode("roots").alias("tree", "token")
-    rows = stored(classes.select("class", roots).select("class", F.xxhash64("tree", "token").alias("node")), "tree-roots")
+    rows = classes.select("class", "bits", roots).select("class", "bits", F.xxhash64("tree", "token").alias("node"))
+    rows = stored(rows, "tree-roots")
     signs = classes.select("class", "n_shingles", "sign")
     links, level = [], 0
     while True:
         counts = rows.groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
         counted = stored(rows.join(counts, "node"), "tree-nodes")
-        small = counted.where(F.col("_n") <= NODE).select("class", "node", F.lit(0).cast("bigint").alias("block"))
+        small = counted.where(F.col("_n") <= NODE).select("class", "bits", "node", F.lit(0).cast("bigint").alias("block"))
         large = counted.where(F.col("_n") > NODE)
         last = level == DEPTH
         if last:
-            small = small.union(_blocks(large, "node", F.ceil(F.col("_n") / NODE)).select("class", "node", "block"))
-        dealt = small.join(signs, "class").repartition("node", "block").sortWithinPartitions("node", "block")
+            small = small.union(_blocks(large, "node", F.ceil(F.col("_n") / NODE)).select("class", "bits", "node", "block"))
+        dealt = small.repartition("node", "block").sortWithinPartitions("node", "block")
+        likely = stored(dealt.mapInArrow(_likely(percent), "node bigint, block bigint, class binary"), "tree-likely")
+        dealt = likely.join(signs, "class").repartition("node", "block").sortWithinPartitions("node", "block")
         links.append(dealt.mapInArrow(_compare_signs(percent), "a binary, b binary"))
         if last or large.isEmpty():
             break
@@ -233,7 +276,7 @@ def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
         # The path, that is the node, chooses the coordinates; the token there names the branch.
         chosen = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(BRANCHES)]
         tokens = [F.xxhash64("node", c, F.substring("sign", 2 * c + 1, F.lit(2))) for c in chosen]
-        rows = stored(large.join(signs, "class").select("class", F.explode(F.array(*tokens)).alias("node")), "tree-branches")
+        rows = stored(large.join(signs, "class").select("class", "bits", F.explode(F.array(*tokens)).alias("node")), "tree-branches")
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
@@ -276,7 +319,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, class, root class of the group and component_id of every row."""
     rows = sketches(docs, size)
     classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("roots").alias("roots"), F.first("sign").alias("sign")
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("roots").alias("roots"), F.first("bits").alias("bits"), F.first("sign").alias("sign")
     )
     classes = stored(classes, "classes")
     groups = components(candidate_links(classes, percent)).select(F.col("node").alias("class"), "root")
