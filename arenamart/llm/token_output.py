@@ -129,39 +129,42 @@ def encoder(path: str) -> Encoder:
 
 
 def _pack(ids: np.ndarray) -> bytes:
-    return pa.compress(ids.astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+    """Ids as two bytes each where that is enough, else four, compressed; the first byte says which."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    return bytes([width]) + pa.compress(ids.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
-    raw = pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True)
-    return np.frombuffer(raw, "u1").reshape(4, -1).T.copy().view("<u4").ravel()
+    raw = pa.decompress(memoryview(data)[1:], decompressed_size=data[0] * n, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, f"<u{data[0]}")
+
+
+IDS = "doc_id bigint, n bigint, ids binary, seen array<bigint>, times array<bigint>"
 
 
 def _tokenize(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row of ids for every document, and one row with the id counts of the task behind them."""
+    names = [f.split()[0] for f in IDS.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own, total = encoder(path), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = [np.append(x, np.uint32(END)) for x in own.encode([t or "" for t in part.column("text").to_pylist()])]
-                arrays = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([_pack(x) for x in ids], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "ids"])
+                counts = np.bincount(np.concatenate(ids), minlength=len(total))
+                counts[: len(total)] += total
+                total = counts
+                none = pa.nulls(len(ids), pa.list_(pa.int64()))
+                arrays = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(map(_pack, ids), pa.binary()), none, none]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+        seen = np.flatnonzero(total)
+        lists = [pa.array([x], pa.list_(pa.int64())) for x in (seen, total[seen])]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *lists], names)
 
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for data, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
-            own = np.bincount(_unpack(data, n))
-            if len(own) > len(total):
-                total = np.pad(total, (0, len(own) - len(total)))
-            total[: len(own)] += own
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
-
-
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks below 2^32."""
     ranks = ranks.astype("<u4")
@@ -240,8 +243,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> None
     """Writes ``blocks`` and ``vocabulary`` below ``path`` for all documents, by ascending doc_id."""
     spark, file = docs.sparkSession, public_tokenizers.path(tokenizer)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ids = stored(rows.mapInArrow(_tokenize(file), "doc_id bigint, n bigint, ids binary"), "token-ids")
-    counts = ids.select("n", "ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    tokenized = stored(rows.mapInArrow(_tokenize(file), IDS), "token-ids")
+    each = tokenized.where("seen is not null").select(F.inline(F.arrays_zip(F.col("seen").alias("id"), F.col("times").alias("n"))))
+    counts = each.groupBy("id").agg(F.sum("n").alias("n"))
+    ids = tokenized.where("seen is null").select("doc_id", "n", "ids")
     ranked = counts.orderBy(F.desc("n"), "id").collect()  # bounded by the vocabulary
     id_of = np.array([r["id"] for r in ranked], np.int64)
     rank_of = np.zeros(int(id_of.max(initial=0)) + 1, np.uint32)
