@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,7 +188,10 @@ def unique_runs(words: list[str], mask: np.ndarray) -> str:
 
 def extract_chunk(pages: list[str | None]) -> list[str]:
     """Main texts of the pages of one chunk of a host."""
-    blocks = [blocks_of(p) for p in pages]
+    return main_texts([blocks_of(p) for p in pages])
+
+
+def main_texts(blocks: list[list[tuple[str, bool]]]) -> list[str]:
     streams = [[w for text, _ in b for w in text.split(" ")] for b in blocks]
     body, everywhere, _ = covered(streams)
     out = []
@@ -206,11 +210,25 @@ def extract_chunk(pages: list[str | None]) -> list[str]:
     return out
 
 
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to their blocks, compressed, as they are shuffled next. A block has no line feed."""
+    for batch in batches:
+        pages = (blocks_of(p) for p in batch.column("html").to_pylist())
+        packed = [zlib.compress("\n".join("BA"[inside] + text for text, inside in b).encode("utf-8", "surrogatepass")) for b in pages]
+        kept = [c for c in batch.schema.names if c != "html"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(packed, pa.binary())], [*kept, "blocks"])
+
+
+def _unpack(packed: bytes) -> list[tuple[str, bool]]:
+    text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+    return [(line[1:], line[0] == "A") for line in text.split("\n")] if text else []
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by chunk; one chunk is held at a time."""
     for chunk in contiguous(batches, ["host", "chunk"]):
         table = pa.Table.from_batches(chunk)
-        text = extract_chunk(table["html"].to_pylist())
+        text = main_texts([_unpack(b) for b in table["blocks"].to_pylist()])
         columns = [table["page_id"], table["url"], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
         yield from pa.table(columns, ["page_id", "url", "text", "n_chars"]).to_batches()
 
@@ -225,7 +243,8 @@ def extract(pages: DataFrame) -> DataFrame:
     # Spread by content and id: a hot host fills many chunks, and each has all kinds of its pages.
     chunk = F.pmod(F.xxhash64("page_id", "html"), F.col("_chunks"))
     chunked = rows.join(hosts, "host").select("page_id", "url", "html", "host", chunk.alias("chunk"))
-    dealt = chunked.repartition("host", "chunk").sortWithinPartitions("host", "chunk")
+    parsed = chunked.mapInArrow(_parse, "page_id bigint, url string, host string, chunk bigint, blocks binary")
+    dealt = parsed.repartition("host", "chunk").sortWithinPartitions("host", "chunk")
     return dealt.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
 
 
