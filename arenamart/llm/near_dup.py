@@ -45,6 +45,8 @@ NODE = 2_000
 BRANCHES = 3
 DEPTH = 3
 GROUP_SHINGLES = 2_000_000
+#: Ids of candidates in one broadcast: below 100 MB.
+BROADCAST_IDS = 2_000_000
 
 _SEEDS = np.random.default_rng(20240229).integers(1, 2**63, (2, TREES + COORDINATES), dtype=np.int64).astype(np.uint64)
 _XOR, _ODD = _SEEDS[0], _SEEDS[1] | np.uint64(1)
@@ -327,7 +329,9 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     weight = members.groupBy("root").agg(F.sum("n_shingles").alias("_w"))
     members = members.join(weight, "root").withColumn("_parts", F.ceil(F.col("_w") / GROUP_SHINGLES))
     # One document of each member class gives the set again; its class tells which set that is.
+    # Up to the bound their ids are broadcast, so that no text is shuffled; beyond it both sides are.
     ids = members.select(F.col("first_id")).distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     chosen = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     sets = chosen.select("text").mapInArrow(_with_sets(size), "class binary, hashes binary")
     placed = _blocks(members, "root", F.col("_parts")).select("root", "block", "class", "n_shingles", "sign")
