@@ -47,7 +47,8 @@ SCAN = re.compile(
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: One attribute: the name at the start or behind white space or a slash, the value consumed whole.
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*))?")
 DROPPED_TAGS = frozenset("nav aside footer form head button select dialog menu object".split())
 BREAKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -71,7 +72,7 @@ CASED = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 def _hinted(attributes: str) -> bool:
     """Whether class, id, role or hidden mark an element as something beside the text."""
     for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
+        name, value = name.lower(), value[1:-1] if value[:1] in ("'", '"') else value
         if name in ("class", "id") and not HINTS.isdisjoint(w.lower() for w in CASED.split(value)):
             return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":

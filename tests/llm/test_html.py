@@ -80,3 +80,16 @@ def test_edges(spark, monkeypatch):
     want = [(p, u, text_of(x)) for p, u, x in rows]
     assert sorted(((r.page_id, r.url, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
     assert h.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'data-hidden="false"', "href='/hidden-gems'", 'data-id="menu"', 'href="/p?id=3&share=1"', "href=/p?id=ad&class=ad",
+    'title="a class=ad hidden"', 'x-role="banner"', 'data-x = "id=menu" data-class=ad',
+])
+def test_only_whole_attributes_are_hints(attributes):
+    assert text_of(f"<div {attributes}><article><p>a <a {attributes}>b</a> c</article></div>") == "a b c"
+
+
+@pytest.mark.parametrize("attributes", ['data-x="1" hidden', "CLASS = ad", "alt='x>y'id='menu'", 'role="banner"', "aria-hidden=true", "hidden/"])
+def test_hints_are_found_behind_other_attributes(attributes):
+    assert text_of(f"<article><p>a <span {attributes}>b</span> c</article>") == "a c"
