@@ -2,8 +2,10 @@
 
 A page becomes a list of blocks; each knows its zone: ``article`` (inside article or main), ``body``
 (elsewhere) or none, if it is dropped by its element or class (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, reader comments). The words of all blocks that are left form
-the page's token stream.
+notices, adverts, forms, scripts, styles, reader comments). Class, id, role, hidden and the element form
+never drop an article or main, nor an element that one starts in; elements by whose own name text goes
+(nav, aside, footer, a page's header) go with all that is in them. The words of all blocks that are left
+form the page's token stream.
 
 The streams of a host's pages are concatenated, in chunks of about ``CHUNK_BYTES`` that a hash fills, so
 that no task holds a whole host. Prefix doubling sorts the suffixes by their first ``RUN`` tokens;
@@ -49,7 +51,7 @@ SCAN = re.compile(
 )
 #: One attribute: the name at the start or behind white space or a slash, the value consumed whole.
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*))?")
-DROPPED_TAGS = frozenset("nav aside footer form head button select dialog menu object".split())
+DROPPED_TAGS = frozenset("nav aside footer head button select dialog menu object".split())
 BREAKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table "
@@ -65,15 +67,27 @@ HINTS = frozenset(
     "masthead topbar toolbar related recommended share sharing social comment comments disqus respond reply replies login signup search "
     "pagination pager paywall".split()
 )
+#: Words that only say which part of something a class names. Others, as in has-sidebar, no-header,
+#: comments-open or ad-free, make it the name of something else.
+PARTS = frozenset(
+    "area bar block bottom box button buttons col column container fixed form global group icon icons inner item items js left "
+    "link links list main mobile outer panel primary right row secondary section site slot sticky top unit wrap wrapper".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CASED = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
 
+def _names_hint(name: str) -> bool:
+    """Whether a class name consists of hint words and names of parts, as share-bar does."""
+    words = {w.lower() for w in CASED.split(name) if w}
+    return not HINTS.isdisjoint(words) and words <= HINTS | PARTS
+
+
 def _hinted(attributes: str) -> bool:
     """Whether class, id, role or hidden mark an element as something beside the text."""
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value[1:-1] if value[:1] in ("'", '"') else value
-        if name in ("class", "id") and not HINTS.isdisjoint(w.lower() for w in CASED.split(value)):
+        if name in ("class", "id") and any(map(_names_hint, value.split())):
             return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -82,31 +96,33 @@ def _hinted(attributes: str) -> bool:
 
 def blocks_of(page: str | None) -> list[tuple[str, bool]]:
     """(text, inside an article) of every block that is not dropped, in page order."""
-    found: list[tuple[str, bool]] = []
-    parts: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements, each 1: dropped, 2: article, 3: a header in an article, 0
-    dropped = article = header = 0
+    items: list[str | bool] = []  # pieces of text; where a block ends, whether an article is open
+    #: Open elements: name, 1: dropped, 2: article, 3: a header in an article, 4: dropped if no article
+    #: starts in it, or 0; for 4 the items and the articles before it.
+    stack: list[tuple[str, int, int, int]] = []
+    dropped = article = header = articles = 0
 
     def flush() -> None:
-        if parts:
-            if text := " ".join(html.unescape("".join(parts)).split()):
-                found.append((text, article > 0))
-            parts.clear()
+        if items and not isinstance(items[-1], bool):
+            items.append(article > 0)
 
-    def close(name: str) -> None:
+    def pop() -> str:
         nonlocal dropped, article, header
-        if not any(n == name for n, _ in stack):
-            return
-        while stack:
-            n, kind = stack.pop()
-            dropped, article, header = dropped - (kind == 1), article - (kind == 2), header - (kind == 3)
-            if n == name:
-                return
+        name, kind, start, before = stack.pop()
+        if kind == 4 and articles == before:
+            items[start:] = [x for x in items[start:] if isinstance(x, bool)][:1]
+        dropped, article, header = dropped - (kind == 1), article - (kind == 2), header - (kind == 3)
+        return name
+
+    def close(name: str) -> None:
+        if any(x[0] == name for x in stack):
+            while pop() != name:
+                pass
 
     at, page = 0, page or ""
     for m in SCAN.finditer(page):
-        if m.start() > at and not dropped and (not header or any(n in HEADINGS for n, _ in stack)):
-            parts.append(page[at : m.start()])
+        if m.start() > at and not dropped and (not header or any(x[0] in HEADINGS for x in stack)):
+            items.append(page[at : m.start()])
         at = m.end()
         end, name = m.group(2), m.group(3)
         if name is None:
@@ -125,17 +141,28 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
             kind = 0
             if name in DROPPED_TAGS or name == "header" and not article:
                 kind = 1
-            elif name not in ("html", "body") and attributes and _hinted(attributes):
-                kind = 1
             elif name in ("article", "main"):
                 kind = 2
+                articles += not dropped
+            elif name == "form" or name not in ("html", "body") and attributes and _hinted(attributes):
+                kind = 4
             elif name == "header":
                 kind = 3
-            stack.append((name, kind))
+            stack.append((name, kind, len(items), articles))
             dropped, article, header = dropped + (kind == 1), article + (kind == 2), header + (kind == 3)
     if not dropped:
-        parts.append(page[at:])
-    flush()
+        items.append(page[at:])
+    inside = article > 0
+    while stack:
+        pop()
+    found, parts = [], []
+    for item in (*items, inside):
+        if not isinstance(item, bool):
+            parts.append(item)
+        elif parts:
+            if text := " ".join(html.unescape("".join(parts)).split()):
+                found.append((text, item))
+            parts = []
     return found
 
 

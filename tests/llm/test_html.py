@@ -93,3 +93,20 @@ def test_only_whole_attributes_are_hints(attributes):
 @pytest.mark.parametrize("attributes", ['data-x="1" hidden', "CLASS = ad", "alt='x>y'id='menu'", 'role="banner"', "aria-hidden=true", "hidden/"])
 def test_hints_are_found_behind_other_attributes(attributes):
     assert text_of(f"<article><p>a <span {attributes}>b</span> c</article>") == "a c"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<main class="content has-sidebar"><p>m</main>', "m"),
+    ('<article class="post comments-open"><p>a</article>', "a"),
+    ('<div class="no-header"><p>d</div>', "d"),
+    ('<div id="ad-free"><p>d</div>', "d"),
+    ('<article class="sidebar" id="comments" hidden><p>a</article>', "a"),
+    ('<div class="sidebar"><p>x<div class="ad">y</div><article><p>a</article><p>z</div>', "a"),
+    ('<form><input><div class="menu"><p>x</div><article><p>a</article></form>', "a"),
+    ('<main><form><p>f</form><p>m <span class="adBox">x<div>y</div></span>n</main>', "m\nn"),
+    ('<div class="sidebar"><aside><article>no</article></aside><p>x</div><p>b', "b"),
+    ('<article><p>a</p><div class="ads"><p>x', "a"),
+    ('<div class="menu">' * 3000 + "<p>x" + "</div>" * 3000 + "b", "b"),
+])
+def test_hints_never_drop_an_article(page, text):
+    assert text_of(page) == text
