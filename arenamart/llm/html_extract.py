@@ -44,11 +44,13 @@ ARTICLE_SHARE, ARTICLE_LEAST = 0.9, 10
 
 SCAN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|title|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+#: Elements skipped whole up to their end tag; without one only the start tag is skipped.
+SKIPPED = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("noscript", "template", "svg", "iframe")}
 #: One attribute: the name at the start or behind white space or a slash, the value consumed whole.
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*))?")
 DROPPED_TAGS = frozenset("nav aside footer head button select dialog menu object".split())
@@ -120,7 +122,8 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
                 pass
 
     at, page = 0, page or ""
-    for m in SCAN.finditer(page):
+    endless: set[str] = set()  # skipped elements without an end tag in the rest of the page
+    while m := SCAN.search(page, at):
         if m.start() > at and not dropped and (not header or any(x[0] in HEADINGS for x in stack)):
             items.append(page[at : m.start()])
         at = m.end()
@@ -128,6 +131,13 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
         if name is None:
             continue
         name = name.lower()
+        if name in SKIPPED:
+            if not end and name not in endless and not (name == "svg" and m.group(4).endswith("/")):
+                if last := SKIPPED[name].search(page, at):
+                    at = last.end()
+                else:
+                    endless.add(name)
+            continue
         if name in BREAKS:
             flush()
         if end:

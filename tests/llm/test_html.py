@@ -110,3 +110,17 @@ def test_hints_are_found_behind_other_attributes(attributes):
 ])
 def test_hints_never_drop_an_article(page, text):
     assert text_of(page) == text
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><p>a <svg class="i"/>b</p><p>c <svg><path d="M0"/>x</svg>d</article>', "a b\nc d"),
+    ("<article><p>a <SVG />b</article>", "a b"),
+    ("<article><p>a<iframe src=x>b<p>c</article>", "ab\nc"),
+    ("<p>a<noscript>b<template>c<svg>d", "abcd"),
+    ("<p>a<noscript>x</noscript><iframe>x</iframe><template><p>x</template>b", "ab"),
+    ("<p>a<svg>" * 20_000 + "b", "\n".join(["a"] * 19_999 + ["ab"])),
+    ("<p>a<textarea>x", "a"),
+    ("<p>a<!-- x", "a"),
+])
+def test_only_raw_text_runs_to_the_end(page, text):
+    assert text_of(page) == text
