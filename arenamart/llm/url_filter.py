@@ -66,7 +66,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    # Possessive: where no path follows the host, a later :// in query or fragment is not tried.
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*+://[^/?#]*+(/[^?#]*)", 1)
 
 
 def rule_index(urls: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:

@@ -112,3 +112,12 @@ def test_sql_agrees(spark):
     got = u.op5_url_filter(spark, SF)
     assert [x[0] for x in found.description] == got.columns
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(found.fetchall(), key=str)
+
+
+def test_path_is_behind_the_first_host(spark):
+    urls = ["http://x.net?r=http://y.org/es/1", "http://x.net#http://y.org/es/1", "http://x.com?u=x://a/b", "x://", "x://a/b?c://d/e", "x://?a://b/c", "\n:/://a.net/es/x"]
+    urls += ["http://x.net?" + "a" * 200_000 + "://y/es/", "a" * 200_000, "a" * 200_000 + "://net/es/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = sorted(tuple(r) for r in u.judge(pages).collect())
+    assert got == [(i, *judged(x)) for i, x in enumerate(urls)]
+    assert got[0] == (0, "x.net", "", None, "allow")
