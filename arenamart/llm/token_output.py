@@ -12,7 +12,8 @@ shared store: file ``part`` k holds the k-th range of document ids, and its rows
 
 Encoding splits a text before white space; there the tokenizer's own pattern always starts a new piece, so
 the pieces can be encoded one by one. Each Python worker keeps the ids of pieces that it has met, up to
-``PIECES``, and the library encodes only new ones.
+``PIECES``, and the library encodes only new ones. Texts with the string of an added token, such as
+``<|endoftext|>``, are encoded whole and get that token's id, as the loaded tokenizer gives it.
 
 Defined results: a null text counts as empty and has only the end id; documents with equal ids keep
 their rows, in order of length and content; a null id comes first; an empty table gives no rows; extra
@@ -62,11 +63,16 @@ def pieces_of(text: str) -> list[str] | None:
 
 
 class Encoder:
-    """Ids of whole texts, with the ids of known pieces kept in one array."""
+    """Ids of whole texts, with the ids of known pieces kept in one array.
 
-    def __init__(self, path: str):
+    ``ordinary`` reads the strings of special tokens as ordinary text; the operator leaves the tokenizer
+    as it is loaded.
+    """
+
+    def __init__(self, path: str, ordinary: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = ordinary
+        self.added = tuple(a.content for a in self.tokenizer.get_added_tokens_decoder().values())
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         # A byte-level vocabulary writes each byte of a token as one letter.
         self.bytes_of = np.ones(1 + max(vocabulary.values()), np.int64)
@@ -105,7 +111,8 @@ class Encoder:
         """Ids of each text, the end id not included."""
         if len(self.known) > PIECES:
             self.clear()
-        split = [pieces_of(t) for t in texts]
+        # The tokenizer looks for added tokens before it splits, so that texts with one stay whole.
+        split = [None if any(a in t for a in self.added) else pieces_of(t) for t in texts]
         # The first piece of a text has no space before it and is encoded with the other whole texts.
         whole = [t if s is None else s[0] for t, s in zip(texts, split, strict=True)]
         heads = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
@@ -125,7 +132,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, ordinary=False)
 
 
 def _pack(ids: np.ndarray) -> bytes:

@@ -87,3 +87,17 @@ def test_frequent_ids_take_one_byte(spark, tmp_path):
     assert [r.n for r in known] == sorted((r.n for r in known), reverse=True)
     blocks = spark.read.parquet(str(tmp_path / "f/blocks")).collect()
     assert sum(len(b.data) for b in blocks) == sum(b.n for b in blocks)
+
+
+def test_added_tokens_get_the_ids_of_the_loaded_tokenizer(spark):
+    own, rnd = Tokenizer.from_file(public_tokenizers.path(t.TOKENIZER)), random.Random(6)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|><|endoftext|>\nb c", "<|endoftext| >", "plain words"]
+    texts += ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(25))) for _ in range(1500)]
+    texts += [" ".join(rnd.choice(PARTS[12:]) for _ in range(30)) for _ in range(500)]
+    want = [own.encode(x, add_special_tokens=False).ids for x in texts]
+    assert 50256 in want[0]
+    for _ in range(2):
+        assert [x.tolist() for x in t.encoder(public_tokenizers.path(t.TOKENIZER)).encode(texts)] == want
+    got = sorted(tuple(r) for r in t.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect())
+    starts = np.cumsum([0, *[len(x) + 1 for x in want]]).tolist()
+    assert got == [(i, starts[i], len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for i, x in enumerate(want)]
