@@ -7,13 +7,15 @@ never drop an article or main, nor an element that one starts in; elements by wh
 (nav, aside, footer, a page's header) go with all that is in them. The words of all blocks that are left
 form the page's token stream.
 
-The streams of a host's pages are concatenated, in chunks of about ``CHUNK_BYTES`` that a hash fills, so
-that no task holds a whole host. Prefix doubling sorts the suffixes by their first ``RUN`` tokens;
-suffixes of one rank are the occurrences of a repeated substring. A token is covered if it lies in such
-a substring that enough distinct pages of its chunk hold. Pages with equal streams count once.
+The streams of a host's pages are concatenated; prefix doubling sorts the suffixes by their first ``RUN``
+tokens, and suffixes of one rank are the occurrences of a repeated substring. A larger host is dealt by
+hash over chunks of about ``CHUNK_BYTES``, so that no task holds a whole host; there runs of ``RUN`` tokens
+have 64-bit hashes, chunks count their distinct pages, and the counts are summed over the host. A token is
+covered if it lies in a run that enough distinct pages of the host hold. Pages with equal streams count
+once.
 
 A page with an article keeps the article: its passages may repeat on other pages, so they only go where
-nearly all pages of a chunk hold them. A page without one keeps what is not covered: its unique runs.
+nearly all pages of the host hold them. A page without one keeps what is not covered: its unique runs.
 
 Defined results: null or empty html gives an empty text; broken or unclosed markup is read as far as it
 goes; equal rows get equal results; an empty table gives no rows; extra columns are dropped.
@@ -21,25 +23,28 @@ goes; equal rows get equal results; an empty table gives no rows; extra columns
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenamart.llm.common import contiguous, read
+from arenamart.llm.common import contiguous, read, stored
+from arenamart.llm.near_dup import mix
 from arenamart.llm.url_filter import host_of
 
 CHUNK_BYTES = 2_000_000
 #: Tokens of a substring that counts as repeated (a power of two: prefixes double).
 RUN = 8
-#: A body run goes if this share of the chunk's distinct pages holds it, and ``LEAST`` pages at least.
-BODY_SHARE, BODY_LEAST = 0.1, 3
-#: An article passage goes only if this share of at least ``ARTICLE_LEAST`` distinct pages holds it.
+#: A body run goes if so many distinct pages of the host hold it.
+BODY_LEAST = 3
+#: An article passage goes only if this share of the host's distinct pages holds it, and ``ARTICLE_LEAST`` at least.
 ARTICLE_SHARE, ARTICLE_LEAST = 0.9, 10
 
 SCAN = re.compile(
@@ -187,6 +192,30 @@ def run_ranks(tokens: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _spread(starts: np.ndarray, size: int) -> np.ndarray:
+    """Mask of the tokens in runs that begin at ``starts``."""
+    edge = np.zeros(size + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + RUN, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def run_hashes(streams: list[list[str]]) -> list[np.ndarray]:
+    """Per stream a 64-bit hash of each of its runs, by position."""
+    ids: dict[str, int] = {}
+    coded = [np.fromiter((ids.setdefault(w, len(ids)) for w in s), np.int64, len(s)) for s in streams]
+    words = np.array([w.encode("utf-8", "surrogatepass") for w in ids], dtype=object)
+    hashes = pd.util.hash_array(words, categorize=False) if len(words) else np.zeros(0, np.uint64)
+    out = []
+    for code in coded:
+        own = hashes[code]
+        run = np.zeros(max(0, len(own) - RUN + 1), np.uint64)
+        for k in range(RUN):
+            run = mix(run * np.uint64(0x9E3779B97F4A7C15) + own[k : k + len(run)])
+        out.append(run.view(np.int64))
+    return out
+
+
 def covered(streams: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray], int]:
     """Per stream two masks: tokens in body boilerplate, tokens on nearly all pages; distinct pages."""
     unique: dict[tuple[str, ...], int] = {}
@@ -206,12 +235,8 @@ def covered(streams: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray
         whole = np.flatnonzero(left >= RUN)
         pairs = np.unique(rank[whole] * len(lists) + owner[whole])
         pages = np.bincount(pairs // len(lists), minlength=int(rank.max()) + 1)
-        for least in (max(BODY_LEAST, BODY_SHARE * len(lists)), max(ARTICLE_LEAST, ARTICLE_SHARE * len(lists))):
-            edge = np.zeros(len(flat) + 1, np.int64)
-            hit = whole[pages[rank[whole]] >= least]
-            np.add.at(edge, hit, 1)
-            np.add.at(edge, hit + RUN, -1)
-            masks.append(np.cumsum(edge[:-1]) > 0)
+        for least in (BODY_LEAST, max(ARTICLE_LEAST, ARTICLE_SHARE * len(lists))):
+            masks.append(_spread(whole[pages[rank[whole]] >= least], len(flat)))
     cut = [[m[starts[k] : starts[k] + sizes[k]] for m in masks] for k in which]
     return [c[0] for c in cut], [c[1] for c in cut], len(lists)
 
@@ -229,9 +254,20 @@ def extract_chunk(pages: list[str | None]) -> list[str]:
     return main_texts([blocks_of(p) for p in pages])
 
 
-def main_texts(blocks: list[list[tuple[str, bool]]]) -> list[str]:
-    streams = [[w for text, _ in b for w in text.split(" ")] for b in blocks]
-    body, everywhere, _ = covered(streams)
+def stream_of(blocks: list[tuple[str, bool]]) -> list[str]:
+    return [w for text, _ in blocks for w in text.split(" ")]
+
+
+def main_texts(blocks: list[list[tuple[str, bool]]], marks: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """Main texts of a whole host, or of a chunk by ``marks``: hashes of the host's body and article runs that go."""
+    streams = [stream_of(b) for b in blocks]
+    if marks is None:
+        body, everywhere, _ = covered(streams)
+    elif not any(map(len, marks)):
+        body = everywhere = [np.zeros(len(s), bool) for s in streams]
+    else:
+        hashes = run_hashes(streams)
+        body, everywhere = ([_spread(np.flatnonzero(np.isin(r, m)), len(s)) for r, s in zip(hashes, streams, strict=True)] for m in marks)
     out = []
     for own, in_body, in_all in zip(blocks, body, everywhere, strict=True):
         has_article, at, kept = any(inside for _, inside in own), 0, []
@@ -248,13 +284,21 @@ def main_texts(blocks: list[list[tuple[str, bool]]]) -> list[str]:
     return out
 
 
+PARSED = "page_id bigint, url string, host string, chunk bigint, chunks bigint, digest binary, plain boolean, blocks binary"
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages to their blocks, compressed, as they are shuffled next. A block has no line feed."""
     for batch in batches:
-        pages = (blocks_of(p) for p in batch.column("html").to_pylist())
-        packed = [zlib.compress("\n".join("BA"[inside] + text for text, inside in b).encode("utf-8", "surrogatepass")) for b in pages]
+        digests, plain, packed = [], [], []
+        for page in batch.column("html").to_pylist():
+            blocks = blocks_of(page)
+            digests.append(hashlib.blake2b(" ".join(text for text, _ in blocks).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            plain.append(not any(inside for _, inside in blocks))
+            packed.append(zlib.compress("\n".join("BA"[inside] + text for text, inside in blocks).encode("utf-8", "surrogatepass")))
         kept = [c for c in batch.schema.names if c != "html"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(packed, pa.binary())], [*kept, "blocks"])
+        arrays = [pa.array(digests, pa.binary()), pa.array(plain, pa.bool_()), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *arrays], [*kept, "digest", "plain", "blocks"])
 
 
 def _unpack(packed: bytes) -> list[tuple[str, bool]]:
@@ -262,12 +306,99 @@ def _unpack(packed: bytes) -> list[tuple[str, bool]]:
     return [(line[1:], line[0] == "A") for line in text.split("\n")] if text else []
 
 
+RUNS = "host string, chunk bigint, run bigint, n bigint, wanted boolean, near boolean"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of each chunk with the number of distinct pages that are counted here (rows sorted by chunk).
+
+    Rows without blocks name a page that another chunk counts (digest) or a run that is asked for. If
+    none is asked for, these are the runs on nearly all of the chunk's pages, and all runs if the host
+    has pages without an article. ``wanted`` runs stand on such a page of this chunk. One row without a
+    run gives the number of pages.
+    """
+    for chunk in contiguous(batches, ["host", "chunk"]):
+        table = pa.Table.from_batches(chunk)
+        away, asked, pages = set(), [], {}
+        for digest, plain, blocks, run in zip(*(table[c].to_pylist() for c in ("digest", "plain", "blocks", "run")), strict=True):
+            if blocks is not None:
+                pages[digest] = (pages[digest][0] or plain, blocks) if digest in pages else (plain, blocks)
+            elif run is None:
+                away.add(digest)
+            else:
+                asked.append(run)
+        every = any(x for x in table["every"].to_pylist())
+        hashes = [np.unique(h) for h in run_hashes([stream_of(_unpack(b)) for _, b in pages.values()])]
+        sizes = [len(h) for h in hashes]
+        own = np.array([d not in away for d in pages], bool)
+        bare = np.array([plain for plain, _ in pages.values()], bool)
+        found, which = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.int64), return_inverse=True)
+        n = np.bincount(which[np.repeat(own, sizes)], minlength=len(found))
+        wanted = np.bincount(which[np.repeat(bare, sizes)], minlength=len(found)) > 0
+        near = (n > 0) & (n >= ARTICLE_SHARE * own.sum())
+        kept = np.isin(found, asked) if asked else near | every
+        columns = [found[kept], n[kept], wanted[kept], near[kept]]
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+        arrays = [pa.concat_arrays([pa.array(c, k), last]) for c, k, last in zip(
+            columns, kinds, (pa.nulls(1, pa.int64()), pa.array([int(own.sum())], pa.int64()), *[pa.array([False])] * 2), strict=True
+        )]
+        size = len(arrays[0])
+        keys = [pa.array([table[c][0].as_py()] * size, k) for c, k in (("host", pa.string()), ("chunk", pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*keys, *arrays], ["host", "chunk", "run", "n", "wanted", "near"])
+
+
+def repeated_runs(parsed: DataFrame) -> DataFrame:
+    """host, chunk, run, body for the runs in each chunk that go by the distinct pages of their whole host.
+
+    Every distinct page is counted in one chunk, so that counts of chunks add up. A run that nearly all
+    pages of a host hold is held by nearly all counted pages of one of its chunks at least, so that these
+    are all candidates for article passages.
+    """
+    places = parsed.groupBy("host", "digest").agg(F.collect_set("chunk").alias("_in")).where(F.size("_in") > 1)
+    # An array of at most as many numbers as the host has chunks.
+    away = places.select("host", F.explode(F.array_remove("_in", F.array_min("_in"))).alias("chunk"), "digest")
+    # Stored, so that joins by host know the size and shuffle no blocks where it is small.
+    bare = stored(parsed.where("plain").select("host").distinct().withColumn("every", F.lit(True)), "html-bare")
+
+    def counted(pages: DataFrame, *more: DataFrame) -> DataFrame:
+        rows = pages.select("host", "chunk", "digest", "plain", "blocks", "every")
+        for other in (away, *more):
+            rows = rows.unionByName(other, allowMissingColumns=True)
+        if "run" not in rows.columns:
+            rows = rows.withColumn("run", F.lit(None).cast("bigint"))
+        dealt = rows.repartition("host", "chunk").sortWithinPartitions("host", "chunk")
+        return stored(dealt.mapInArrow(_runs, RUNS), "html-runs")
+
+    found = counted(parsed.join(bare, "host", "left"))
+    total = found.where("run is not null").groupBy("host", "run").agg(F.sum("n").alias("_n")).where(F.col("_n") >= BODY_LEAST)
+    body = found.where("wanted").join(total, ["host", "run"]).select("host", "chunk", "run", F.lit(True).alias("body"))
+    sizes = found.where("run is null").groupBy("host").agg(F.sum("n").alias("_pages"))
+    likely = found.where("near").select("host", "run").distinct()
+    likely = stored(likely.join(sizes.where(F.col("_pages") >= ARTICLE_LEAST).select("host"), "host"), "html-likely")
+    if likely.isEmpty():
+        return body
+    chunks = parsed.select("host", "chunk").distinct()
+    pages = parsed.join(stored(likely.select("host").distinct(), "html-asked"), "host", "left_semi").withColumn("every", F.lit(False))
+    again = counted(pages, chunks.join(likely, "host")).where("run is not null")
+    total = again.groupBy("host", "run").agg(F.sum("n").alias("_n")).join(sizes, "host")
+    total = total.where(F.col("_n") >= F.greatest(F.lit(ARTICLE_LEAST), ARTICLE_SHARE * F.col("_pages"))).select("host", "run")
+    return body.union(again.join(total, ["host", "run"]).select("host", "chunk", "run", F.lit(False).alias("body")))
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by chunk; one chunk is held at a time."""
+    """Rows sorted by chunk; one chunk is held at a time. Rows without blocks are runs that go."""
     for chunk in contiguous(batches, ["host", "chunk"]):
         table = pa.Table.from_batches(chunk)
-        text = main_texts([_unpack(b) for b in table["blocks"].to_pylist()])
-        columns = [table["page_id"], table["url"], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
+        pages = table.filter(table["blocks"].is_valid())
+        runs = table.filter(table["run"].is_valid())
+        if not len(pages):
+            continue
+        marks = None
+        if pages["chunks"][0].as_py() > 1:
+            run, body = runs["run"].to_numpy(), runs["body"].to_numpy().astype(bool)
+            marks = run[body], run[~body]
+        text = main_texts([_unpack(b) for b in pages["blocks"].to_pylist()], marks)
+        columns = [pages["page_id"], pages["url"], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
         yield from pa.table(columns, ["page_id", "url", "text", "n_chars"]).to_batches()
 
 
@@ -277,12 +408,15 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"), F.octet_length(page).alias("_bytes")
     )
-    hosts = rows.groupBy("host").agg((F.floor(F.sum("_bytes") / CHUNK_BYTES) + 1).alias("_chunks"))
+    # Stored, so that the join knows its size and shuffles no html where it is small.
+    hosts = stored(rows.groupBy("host").agg((F.floor(F.sum("_bytes") / CHUNK_BYTES) + 1).alias("chunks")), "html-hosts")
     # Spread by content and id: a hot host fills many chunks, and each has all kinds of its pages.
-    chunk = F.pmod(F.xxhash64("page_id", "html"), F.col("_chunks"))
-    chunked = rows.join(hosts, "host").select("page_id", "url", "html", "host", chunk.alias("chunk"))
-    parsed = chunked.mapInArrow(_parse, "page_id bigint, url string, host string, chunk bigint, blocks binary")
-    dealt = parsed.repartition("host", "chunk").sortWithinPartitions("host", "chunk")
+    chunk = F.pmod(F.xxhash64("page_id", "html"), F.col("chunks"))
+    chunked = rows.join(hosts, "host").select("page_id", "url", "html", "host", chunk.alias("chunk"), "chunks")
+    parsed = stored(chunked.mapInArrow(_parse, PARSED), "html-blocks")
+    marks = repeated_runs(parsed.where("chunks > 1"))
+    rows = parsed.drop("digest", "plain").unionByName(marks, allowMissingColumns=True)
+    dealt = rows.repartition("host", "chunk").sortWithinPartitions("host", "chunk")
     return dealt.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
 
 

@@ -124,3 +124,18 @@ def test_hints_never_drop_an_article(page, text):
 ])
 def test_only_raw_text_runs_to_the_end(page, text):
     assert text_of(page) == text
+
+
+def test_repeats_count_over_the_whole_host(spark, monkeypatch):
+    rare = "<div>a notice of the house that stands on three of the pages only</div>"
+    all_over = "<p>every article of this host carries these very same ten words</p>"
+    shared = "<p>these words stand in two thirds of all articles of it</p>"
+    pages = [f"<p>own words of the page number {i} here and {i * 7} there</p>{rare if i in (3, 30, 55) else ''}" for i in range(60)]
+    pages += pages[:1] * 40 + ["<p>nothing else is on this page but these words</p>"] * 2
+    some = [f"<article><p>own {i}</p>{all_over if i else ''}{shared if i % 3 else ''}</article>" for i in range(60)] * 2
+    rows = [(i, "http://plain.org/", x) for i, x in enumerate(pages)] + [(1000 + i, "http://some.org/", x) for i, x in enumerate(some)]
+    want = {i: x for host in ("plain", "some") for i, x in zip([r[0] for r in rows if host in r[1]], h.extract_chunk([r[2] for r in rows if host in r[1]]), strict=True)}
+    assert want[3] == "own words of the page number 3 here and 21 there" and want[1001] == "own 1\nthese words stand in two thirds of all articles of it"
+    monkeypatch.setattr(h, "CHUNK_BYTES", 500)
+    got = h.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want and len(got) == len(rows)
