@@ -2,8 +2,8 @@
 
 A document's size is the UTF-8 bytes of its text plus one (null: one). Groups of equal texts fall into
 classes by the power of two of their total size, and into at most ``BUNDLES`` bundles per class, so that
-the schedule has a bounded number of items whatever the corpus; a class with few groups has one group
-per bundle. The items, sorted by size, go to the least-loaded shard through a heap.
+the schedule has a bounded number of items whatever the corpus. A group above one part in ``ALONE`` of a
+shard's share of all bytes is an item of its own; there are fewer of them than shards * ``ALONE``. The items, sorted by size, go to the least-loaded shard through a heap.
 
 The law is ``bytes``: shard sizes are near equal, as far as indivisible groups allow.
 
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from arenamart.llm.common import read, stored
 
 SHARDS = 16
-#: Schedule items per size class; with at most 63 classes that bounds the heap's input.
+#: Bundles per size class; with at most 63 classes that bounds the heap's input.
 BUNDLES = 512
+#: Groups above this part of a shard's share are not bundled.
+ALONE = 64
 #: Parts of a bundle that are numbered on their own, as one group may hold a third of all rows.
 PARTS = 256
 
@@ -58,8 +60,13 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         {"_class": (F.length(F.bin("_bytes")) - 1).cast("int"), "_bundle": F.pmod(F.xxhash64("_group"), F.lit(BUNDLES)).cast("int")}
     )
     groups = stored(groups, "shard-groups")
+    total = groups.agg(F.sum("_bytes")).first()[0] or 0
+    alone = groups.where(F.col("_bytes") > total // (shards * ALONE)).select("_group").collect()  # below shards * ALONE rows
+    alone = [(g, BUNDLES + k) for k, g in enumerate(sorted(r["_group"] for r in alone))]
+    alone = F.broadcast(spark.createDataFrame(alone, "_group string, _own int"))
+    groups = groups.join(alone, "_group", "left").withColumn("_bundle", F.coalesce("_own", "_bundle")).drop("_own")
     bundles = groups.groupBy("_class", "_bundle").agg(F.sum("_bytes").alias("b"), F.sum("_rows").alias("n"))
-    items = bundles.collect()  # at most 63 * BUNDLES rows
+    items = bundles.collect()  # below 63 * BUNDLES + shards * ALONE rows
     placed = schedule([(r["_class"], r["_bundle"], r["b"]) for r in items], shards)
     filled, plan = [0] * shards, []
     for r in sorted(items, key=lambda r: (r["_class"], r["_bundle"])):

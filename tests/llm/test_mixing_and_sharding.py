@@ -113,3 +113,20 @@ def test_written_shards(spark, edge, tmp_path):  # noqa: F811
     out = sharding.write_shards(edge, str(tmp_path / "shards"), 4)
     assert out.count() == edge.count()
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter((r.doc_id, r.text) for r in edge.collect())
+
+
+def test_large_groups_are_items_of_their_own(spark):
+    texts = [f"{i:08d}" * 8 for i in range(4000)]
+    bundle = F.pmod(F.xxhash64(F.sha2(F.col("text").cast("binary"), 256)), F.lit(sharding.BUNDLES)).alias("b")
+    placed = spark.createDataFrame([(x,) for x in texts], "text string").select("text", bundle).collect()
+    same = defaultdict(list)
+    for r in placed:
+        same[r.b].append(r.text)
+    pair = next(x for x in same.values() if len(x) > 1)[:2]
+    share = len(texts) // (sharding.SHARDS - 2)
+    rows = list(enumerate(texts + [x for x in pair for _ in range(share)]))
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    sizes = {r.shard: r.b for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
+    of = {zlib.crc32(x.encode()): x for x in pair}
+    found = {of[r.text_crc32]: r.shard for r in got.select("text_crc32", "shard").distinct().collect() if r.text_crc32 in of}
+    assert found[pair[0]] != found[pair[1]] and max(sizes.values()) < 1.05 * sum(sizes.values()) / sharding.SHARDS
