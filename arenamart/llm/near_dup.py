@@ -9,11 +9,12 @@
    likely partner leave before the signatures are fetched, then by signature. Nodes that are still large at the last level are
    compared whole, block against block. Two classes at the threshold s share a small node of one tree
    with probability s * (1 - (1 - s)^BRANCHES)^(levels below), so that ``TREES`` independent trees miss
-   fewer than one link in a million at s = 0.8.
-3. Candidates. Pairs whose signatures agree as far as s allows, less five standard deviations, are
+   at most 2.5e-7 of the links at s = 0.8. All trees share one signature; its two filters lose a further
+   3.4e-8 there, so that fewer than one link in a million is missed (1e-8 and 8.1e-8 at s = 0.85).
+3. Candidates. Pairs whose signatures agree as far as s allows, less six standard deviations, are
    linked, as stars per node; the components of these links are the candidate groups.
 4. Confirmation. Each candidate group gets the full sets of its members, once, and all its pairs are
-   confirmed by exact intersection and union; pairs that are connected already are skipped. Groups of
+   confirmed by exact intersection and union, whatever their signatures; pairs that are connected already are skipped. Groups of
    more than ``GROUP_SHINGLES`` are confirmed block against block. Components of the confirmed links
    are the result.
 
@@ -44,6 +45,8 @@ COORDINATES = 128
 NODE = 2_000
 BRANCHES = 3
 DEPTH = 3
+#: Standard deviations below the expected agreement at the threshold where the signature filters begin.
+DEVIATIONS = 6
 GROUP_SHINGLES = 2_000_000
 #: Ids of candidates in one broadcast: below 100 MB.
 BROADCAST_IDS = 2_000_000
@@ -168,17 +171,21 @@ def _batched(stars: Iterator[list[tuple[bytes, bytes]]], rows: int = 20_000) ->
 
 
 def least_agreement(percent: int) -> int:
-    """Coordinates that two sets at the threshold share, less five standard deviations."""
+    """Coordinates that two sets at the threshold share, less ``DEVIATIONS``."""
     s = percent / 100
-    return int(COORDINATES * s - 5 * (COORDINATES * s * (1 - s)) ** 0.5)
+    return int(COORDINATES * s - DEVIATIONS * (COORDINATES * s * (1 - s)) ** 0.5)
+
+
+def _sized(sizes: np.ndarray, i: int, percent: int) -> np.ndarray:
+    """Which later members may reach the threshold with member i by size."""
+    return 100 * np.minimum(sizes[i], sizes[i + 1 :]) >= percent * np.maximum(sizes[i], sizes[i + 1 :])
 
 
 def _alike(signs: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each member the later members that may reach the threshold by signature and size."""
     least = least_agreement(percent)
     for i in range(len(signs) - 1):
-        fits = 100 * np.minimum(sizes[i], sizes[i + 1 :]) >= percent * np.maximum(sizes[i], sizes[i + 1 :])
-        later = np.flatnonzero(fits) + i + 1
+        later = np.flatnonzero(_sized(sizes, i, percent)) + i + 1
         if len(later):
             later = later[np.count_nonzero(signs[later] == signs[i], axis=1) >= least]
             if len(later):
@@ -196,7 +203,7 @@ def _members(group: list[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray, np.n
 def least_equal_bits(percent: int) -> int:
     """As ``least_agreement`` for one bit of each coordinate; half of unequal coordinates agree in it."""
     s = (1 + percent / 100) / 2
-    return int(COORDINATES * s - 5 * (COORDINATES * s * (1 - s)) ** 0.5)
+    return int(COORDINATES * s - DEVIATIONS * (COORDINATES * s * (1 - s)) ** 0.5)
 
 
 def _likely(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -302,12 +309,13 @@ def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, bytes]]]:
         for group in contiguous(batches, ["root", "block"]):
-            names, sizes, signs = _members(group)
+            named = {c: n for b in group for c, n in zip(*(b.column(k).to_pylist() for k in ("class", "n_shingles")), strict=True)}
+            names, sizes = list(named), np.array(list(named.values()), np.int64)
             sets = {c: h for b in group for c, h in zip(b.column("class").to_pylist(), b.column("hashes").to_pylist(), strict=True)}
             full = [frozenset(np.frombuffer(sets.pop(c), np.uint64).tolist()) for c in names]
             forest = Forest(len(names))
-            for i, later in _alike(signs, sizes, percent):
-                for j in map(int, later):
+            for i in range(len(names) - 1):
+                for j in map(int, np.flatnonzero(_sized(sizes, i, percent)) + i + 1):
                     if forest.root(i) != forest.root(j):
                         both = len(full[i] & full[j])
                         if 100 * both >= percent * (len(full[i]) + len(full[j]) - both):
@@ -325,7 +333,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
     classes = stored(classes, "classes")
     groups = components(candidate_links(classes, percent)).select(F.col("node").alias("class"), "root")
-    members = stored(groups.join(classes.select("class", "first_id", "n_shingles", "sign"), "class"), "candidates")
+    members = stored(groups.join(classes.select("class", "first_id", "n_shingles"), "class"), "candidates")
     weight = members.groupBy("root").agg(F.sum("n_shingles").alias("_w"))
     members = members.join(weight, "root").withColumn("_parts", F.ceil(F.col("_w") / GROUP_SHINGLES))
     # One document of each member class gives the set again; its class tells which set that is.
@@ -334,7 +342,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     chosen = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     sets = chosen.select("text").mapInArrow(_with_sets(size), "class binary, hashes binary")
-    placed = _blocks(members, "root", F.col("_parts")).select("root", "block", "class", "n_shingles", "sign")
+    placed = _blocks(members, "root", F.col("_parts")).select("root", "block", "class", "n_shingles")
     dealt = placed.join(sets, "class").repartition("root", "block").sortWithinPartitions("root", "block")
     links = dealt.mapInArrow(_confirm(percent), "a binary, b binary")
     linked = components(links).select(F.col("node").alias("class"), "root")
