@@ -11,6 +11,7 @@ from arenamart.llm.personal_data import op13_personal_data
 from arenamart.llm.quality_model import op6_quality
 from arenamart.llm.quality_rules import op3_quality_rules
 from arenamart.llm.sharding import op9_shard
+from arenamart.llm.source_audit import OP12_SQL, op12_source_audit
 from arenamart.llm.token_output import op8_tokens
 from arenamart.llm.url_filter import OP5_SQL, op5_url_filter
 from arenamart.llm.whitening import op11_whitening
@@ -27,6 +28,12 @@ QUERIES = {
     "op9_shard": op9_shard,
     "op10_html": op10_html,
     "op11_whitening": op11_whitening,
+    "op12_source_audit": op12_source_audit,
     "op13_personal_data": op13_personal_data,
 }
-SQL = {"op4_decontaminate": OP4_SQL, "op5_url_filter": OP5_SQL, "op7_mix": OP7_SQL}
+SQL = {
+    "op4_decontaminate": OP4_SQL,
+    "op5_url_filter": OP5_SQL,
+    "op7_mix": OP7_SQL,
+    "op12_source_audit": OP12_SQL,
+}
