@@ -509,6 +509,30 @@ def item_slot_decode(players: DataFrame, items: DataFrame) -> DataFrame:
     return rows
 
 
+PLAYER_FACT = [
+    "match_id", "player_slot", "account_id", "hero_id", "team_number", "side", "team_win",
+    "comp_sig",
+    "hero_games", "hero_win_rate", "top_skills",
+    *[f"{slot}_name" for slot in ITEM_SLOTS],
+    "gold_early", "gold_mid", "gold_late", "xp_early", "xp_mid", "xp_late",
+    "kills", "deaths", "assists", "kda", "gold", "gold_spent", "net_worth", "gold_per_min",
+    "xp_per_min",
+    "hero_damage", "hero_healing", "tower_damage", "tower_kills", "stuns", "last_hits",
+    "denies",
+    "camps_stacked", "creeps_stacked", "neutral_kills", "rune_pickups", "obs_placed",
+    "sen_placed",
+    "observer_kills", "sentry_kills", "purchase_ward_observer", "purchase_ward_sentry",
+    "level",
+    "pick_sequence", "ban_sequence", "enemy_heroes_killed",
+    *[column for _, column, _ in fv.SUPPORT_ITEMS],
+    "support_gold",
+    *[f"damage_taken_{kind.lower()}" for kind in fv.DAMAGE_TYPES],
+    *ITEM_SLOTS,
+    "backpack_0", "backpack_1", "backpack_2", "backpack_3", "leaver_status", "randomed",
+    "firstblood_claimed", "buyback_count", "loaded_at",
+]
+
+
 def _per_match(df: DataFrame, key: str, values: list[str], name: str) -> DataFrame:
     """Fold per-player or per-team rows of a match into one map row per match."""
     entry = F.struct(F.col(key).alias("k"), F.struct(*values).alias("v"))
@@ -566,28 +590,8 @@ def fact_match_players(
         entry = F.try_element_at(F.col("__part"), F.col(key)).alias(f"__found_{i}")
         rows = rows.select(*carried, entry)
         extra += [F.col(f"__found_{i}.{v}").alias(v) for v in values]
-    enriched = rows.select("*", team_side(F.col("team_number")).alias("side"), *extra)
-    return enriched.select(
-        "match_id", "player_slot", "account_id", "hero_id", "team_number", "side", "team_win",
-        "comp_sig",
-        "hero_games", "hero_win_rate", "top_skills",
-        *[f"{slot}_name" for slot in ITEM_SLOTS],
-        "gold_early", "gold_mid", "gold_late", "xp_early", "xp_mid", "xp_late",
-        "kills", "deaths", "assists", "kda", "gold", "gold_spent", "net_worth", "gold_per_min",
-        "xp_per_min",
-        "hero_damage", "hero_healing", "tower_damage", "tower_kills", "stuns", "last_hits",
-        "denies",
-        "camps_stacked", "creeps_stacked", "neutral_kills", "rune_pickups", "obs_placed",
-        "sen_placed",
-        "observer_kills", "sentry_kills", "purchase_ward_observer", "purchase_ward_sentry",
-        "level",
-        "pick_sequence", "ban_sequence", "enemy_heroes_killed",
-        *[column for _, column, _ in fv.SUPPORT_ITEMS],
-        "support_gold",
-        *[f"damage_taken_{kind.lower()}" for kind in fv.DAMAGE_TYPES],
-        *ITEM_SLOTS,
-        "backpack_0", "backpack_1", "backpack_2", "backpack_3", "leaver_status", "randomed",
-        "firstblood_claimed", "buyback_count", "loaded_at",
+    return rows.select("*", team_side(F.col("team_number")).alias("side"), *extra).select(
+        *PLAYER_FACT
     )
 
 

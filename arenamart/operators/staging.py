@@ -96,15 +96,40 @@ def stg_matches(nested: DataFrame) -> DataFrame:
     )
 
 
-def _explode_players(nested: DataFrame, *match_fields: str | Column) -> DataFrame:
-    return nested.select("match_id", *match_fields, F.explode("players").alias("p"))
+def explode_players(nested: DataFrame, fields: list[str], *match_fields: str | Column) -> DataFrame:
+    """``match_id``, match fields and a struct ``p`` of the named fields for every player.
+
+    The lists are taken field by field, as only that keeps the other fields out of the Parquet scan:
+    behind a generator the whole struct would be read.
+    """
+    own = F.arrays_zip(*[F.col(f"players.{f}").alias(f) for f in fields])
+    return nested.select("match_id", *match_fields, F.explode(own).alias("p"))
+
+
+def player_match_fields() -> list[Column]:
+    """What a player row takes from its match."""
+    return [F.col("radiant_win").cast("boolean").alias("radiant_win"), _loaded_at().alias("at")]
 
 
 def stg_match_players(nested: DataFrame) -> DataFrame:
     """One row per (match, player) with typed measures."""
-    rows = _explode_players(
-        nested, F.col("radiant_win").cast("boolean").alias("radiant_win"), _loaded_at().alias("at")
-    )
+    rows = explode_players(nested, FIELDS["stg_match_players"][1], *player_match_fields())
+    return rows.select(*player_columns())
+
+
+def _team_win() -> Column:
+    team, win = F.col("p.team_number"), F.col("radiant_win")
+    return F.when(team == "0", win).when(team == "1", ~win).alias("team_win")
+
+
+def player_results(nested: DataFrame) -> DataFrame:
+    """Hero and outcome of every player, from two fields of the player list."""
+    rows = explode_players(nested, ["hero_id", "team_number"], player_match_fields()[0])
+    return rows.select("match_id", blank_to_null(F.col("p.hero_id")).alias("hero_id"), _team_win())
+
+
+def player_columns() -> list[Column]:
+    """The columns of a player from ``match_id``, ``radiant_win``, ``at`` and the struct ``p``."""
     p = {n: F.col(f"p.{n}") for n in schemas.PLAYER_TEXT}
     kills, deaths, assists = (to_int(p[n]) for n in ("kills", "deaths", "assists"))
     takedowns = (kills + assists).cast("decimal(12,0)")
@@ -121,13 +146,11 @@ def stg_match_players(nested: DataFrame) -> DataFrame:
     def texts(names: str) -> list[Column]:
         return [blank_to_null(p[n]).alias(n) for n in names.split()]
 
-    return rows.select(
-        "match_id",
+    return [
+        F.col("match_id"),
         p["player_slot"].alias("player_slot"),
         *texts("account_id hero_id team_number"),
-        F.when(p["team_number"] == "0", F.col("radiant_win"))
-        .when(p["team_number"] == "1", ~F.col("radiant_win"))
-        .alias("team_win"),
+        _team_win(),
         *ints("kills deaths assists"),
         kda.cast("decimal(12,2)").alias("kda"),
         *ints("gold gold_spent net_worth gold_per_min xp_per_min"),
@@ -143,7 +166,7 @@ def stg_match_players(nested: DataFrame) -> DataFrame:
         p["firstblood_claimed"].cast("int").alias("firstblood_claimed"),
         *ints("buyback_count"),
         F.col("at").alias("loaded_at"),
-    )
+    ]
 
 
 def stg_picks_bans(nested: DataFrame) -> DataFrame:
@@ -195,16 +218,17 @@ def _identity() -> list[Column]:
     ]
 
 
-def explode_list(nested: DataFrame, items: Column, position: str = "at") -> DataFrame:
+def explode_list(nested: DataFrame, field: str, position: str = "at") -> DataFrame:
     """Identity columns, 0-based ``position`` and ``item`` for every element of a player's list."""
-    return _explode_players(nested).select(*_identity(), F.posexplode(items).alias(position, "item"))
+    rows = explode_players(nested, [*schemas.PLAYER_IDENTITY, field])
+    return rows.select(*_identity(), F.posexplode(f"p.{field}").alias(position, "item"))
 
 
 def explode_log(nested: DataFrame, log: str, index: str, key: str) -> DataFrame:
     """Entries of a ``[{key, time}]`` log. Positions count before incomplete entries are left out."""
     time = F.col("item.time").cast("int")
     return (
-        explode_list(nested, F.col(f"p.{log}"), index)
+        explode_list(nested, log, index)
         .where("item.key is not null and item.time is not null")
         .withColumn(index, F.col(index).cast("bigint"))
         .withColumn(key, F.col("item.key"))
@@ -220,7 +244,7 @@ def explode_counts(nested: DataFrame, field: str, key: str, amount: str) -> Data
     Values are cast one by one, as a map typed in the schema would turn null when one value is odd.
     """
     return (
-        _explode_players(nested)
+        explode_players(nested, [*schemas.PLAYER_IDENTITY, field])
         .select(*_identity(), F.explode(F.col(f"p.{field}")).alias(key, amount))
         .withColumn(amount, F.col(amount).cast("int"))
         .where(F.col(amount) > 0)
@@ -237,7 +261,7 @@ def stg_match_player_minute(nested: DataFrame) -> DataFrame:
     )
     present = " and ".join(f"p.{n} is not null" for n in ["times", *series])
     rows = (
-        _explode_players(nested)
+        explode_players(nested, FIELDS["stg_match_player_minute"][1])
         .where(present)
         .select(*_identity(), F.explode(samples).alias("item"))
     )
@@ -260,7 +284,7 @@ def stg_match_player_minute(nested: DataFrame) -> DataFrame:
 def stg_match_player_skills(nested: DataFrame) -> DataFrame:
     """One row per (match, player, upgrade), numbered from 0."""
     return (
-        explode_list(nested, F.col("p.ability_upgrades_arr"), "upgrade_index")
+        explode_list(nested, "ability_upgrades_arr", "upgrade_index")
         .withColumn("upgrade_index", F.col("upgrade_index").cast("bigint"))
         .withColumnRenamed("item", "ability_id")
     )
@@ -311,6 +335,19 @@ def stg_match_player_damage_taken_type(nested: DataFrame, constants: DataFrame)
     )
 
 
+def inflictor_kinds(constants: DataFrame) -> dict[str, str]:
+    """Damage type of every listed inflictor: by the ability list, then by the item list.
+
+    Two reference documents are read here, so the lists are as small as those are.
+    """
+    found: dict[str, str] = {}
+    for resource in ("items", "abilities"):
+        rows = resource_entries(constants, resource, "struct<dmg_type:string>")
+        rows = rows.where(F.col("entry.dmg_type").isin(fv.DAMAGE_TYPES))
+        found |= {key: kind for key, kind in rows.select("key", "entry.dmg_type").collect()}
+    return found | {fv.PLAIN_ATTACK_KEY: fv.DAMAGE_TYPES[0]}
+
+
 # Reference documents -------------------------------------------------------------------------
 
 

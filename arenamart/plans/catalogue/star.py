@@ -6,8 +6,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arenamart.operators import dimensions, facts, staging
+from arenamart.operators import dimensions, facts, match_folds, staging
 from arenamart.plans.driver_tables import ALL, DriverTables
+from arenamart.session import fresh_path
+from arenamart.sources.sinks import table_sink
 
 # Document sections each silver model reads.
 SECTIONS = {
@@ -146,16 +148,20 @@ class Star:
 
     @cached_property
     def fact_players(self) -> DataFrame:
-        return facts.fact_match_players(
-            self.players,
-            self.items,
-            self.ability_uses,
-            self.momentum,
-            facts.fact_picks_bans(self.drafts),
-            self.silver("stg_match_player_kills"),
-            self.silver("stg_match_player_item_purchases"),
-            self.silver("stg_match_player_damage_taken_type"),
-        )
+        """The player fact folded inside the documents."""
+        lists = self.constants("abilities", "items")
+        kinds = staging.inflictor_kinds(lists)
+        return match_folds.fact_match_players(self.player_documents, self.items, kinds)
+
+    @cached_property
+    def player_documents(self) -> DataFrame:
+        return self.driver.nested("players", "wards", "logs", "inflictors", "picks_bans", "teamfights")
+
+    @cached_property
+    def draft_sequence(self) -> DataFrame:
+        folds = match_folds.draft_folds(self.driver.nested("picks_bans"))
+        folds = table_sink(folds, fresh_path(self.spark, "draft_folds"))
+        return match_folds.fact_draft_sequence(folds, self.heroes)
 
     @cached_property
     def sided_players(self) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenamart.operators import checks, dimensions, facts, staging
+from arenamart.operators import checks, dimensions, facts, match_folds, staging
 from arenamart.sources.documents import load_folder
 from arenamart.sources.sinks import incremental_sink, snapshot_sink, stored, table_sink, unseen_rows
 
@@ -71,9 +71,17 @@ def reference_silver(bronze: Tables) -> Tables:
 
 
 def build_gold(
-    s: Tables, constants: DataFrame, rune_seed: DataFrame | None = None, store: Store = lazily
+    s: Tables,
+    constants: DataFrame,
+    rune_seed: DataFrame | None = None,
+    store: Store = lazily,
+    nested: DataFrame | None = None,
 ) -> Tables:
-    """All gold models in dependency order."""
+    """All gold models in dependency order.
+
+    With ``nested``, the parsed documents of all matches, the player fact and the draft grid are folded
+    inside the documents; without, as after an increment, they are made from silver tables.
+    """
     spark = constants.sparkSession
     g: Tables = {}
 
@@ -103,9 +111,11 @@ def build_gold(
     )
     add("fact_phase_momentum", facts.fact_phase_momentum(g["fact_teamfights"], g["fact_matches"]))
     add("fact_team_h2h", facts.fact_team_h2h(g["fact_matches"], g["dim_team"]))
-    add(
-        "fact_match_players",
-        facts.fact_match_players(
+    if nested is not None:
+        kinds = staging.inflictor_kinds(constants)
+        player_fact = match_folds.fact_match_players(nested, g["dim_item"], kinds)
+    else:
+        player_fact = facts.fact_match_players(
             players,
             g["dim_item"],
             g["fact_teamfight_ability_uses"],
@@ -114,8 +124,8 @@ def build_gold(
             s["stg_match_player_kills"],
             s["stg_match_player_item_purchases"],
             s["stg_match_player_damage_taken_type"],
-        ),
-    )
+        )
+    add("fact_match_players", player_fact)
     performance = g["fact_match_players"]
     add(
         "dim_hero",
@@ -127,7 +137,11 @@ def build_gold(
     add("fact_hero_side", facts.fact_hero_side(performance))
     heroes, people = g["dim_hero"], g["dim_player"]
     add("dim_hero_role", dimensions.dim_hero_role(heroes))
-    add("fact_draft_sequence", facts.fact_draft_sequence(s["stg_picks_bans"], heroes))
+    if nested is not None:
+        folds = store("draft_folds", match_folds.draft_folds(nested))
+        add("fact_draft_sequence", match_folds.fact_draft_sequence(folds, heroes))
+    else:
+        add("fact_draft_sequence", facts.fact_draft_sequence(s["stg_picks_bans"], heroes))
     add("fact_hero_matchups", facts.fact_hero_matchups(performance, g["fact_matches"], heroes))
     for unit, suffix in (("target", "damage"), ("source", "damage_taken")):
         rows = s[f"stg_match_player_{suffix}"]
@@ -229,11 +243,13 @@ def run_layers(
         fresh = _unflattened(tables["matches"], stored(spark, f"{extend}/flattened_matches"))
         nested = store("nested_matches", staging.parse_matches(fresh))
         silver = extend_silver(nested, tables["constants"], extend) | reference_silver(tables)
+        whole = None
     else:
         nested = store("nested_matches", staging.parse_matches(tables["matches"]))
         silver = build_silver(nested, tables, store)
+        whole = nested
     seed = rune_seed if rune_seed is not None else dimensions.rune_seed(spark)
-    gold = build_gold(silver, tables["constants"], seed, store)
+    gold = build_gold(silver, tables["constants"], seed, store, whole)
     tables |= {"nested_matches": nested, "rune_lookup": seed} | silver | gold
     if check:
         tables["check_summary"] = checks.summarize(tables)
