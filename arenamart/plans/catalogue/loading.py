@@ -7,16 +7,18 @@ under a new path.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenamart import schemas
-from arenamart.operators import staging
+from arenamart.operators import checks, staging
 from arenamart.plans import pipeline
 from arenamart.plans.catalogue import models
 from arenamart.plans.catalogue.oracle_tables import PRELUDE, oracle
-from arenamart.plans.catalogue.star import Star
+from arenamart.plans.catalogue.digests import checks_sql, digests_sql, table_digests
+from arenamart.plans.catalogue.star import SECTIONS, Star
 from arenamart.plans.catalogue.support import Entry, published
 from arenamart.session import fresh_path
 from arenamart.sources import coverage, documents, sinks, worklists
@@ -155,7 +157,9 @@ def _upsert(spark: SparkSession, t) -> DataFrame:
     incoming = t("orders").groupBy(F.expr("o_custkey * 2").alias("id")).agg(
         F.max("o_orderpriority").alias("payload")
     )
-    return documents.upsert_by_key(stored, incoming, "id")
+    path = fresh_path(spark, "upserted")
+    sinks.upsert_sink(stored, path, "id")
+    return sinks.upsert_sink(incoming, path, "id")
 
 
 add(
@@ -449,24 +453,96 @@ def _stream_silver(s: Star) -> DataFrame:
 
 star("stream_silver", _stream_silver, "SELECT * FROM s_kills")
 
+
+def _stream_silver_tables(s: Star) -> DataFrame:
+    """All silver tables from one stream that sees half of the matches first, then all of them."""
+    bronze, target = fresh_path(s.spark, "bronze"), fresh_path(s.spark, "silver")
+    progress = fresh_path(s.spark, "progress")
+    columns = [f.name for f in schemas.bronze_schema("matches").fields]
+    every = sinks.table_sink(s.driver.documents().select(*columns), fresh_path(s.spark, "documents"))
+    for part in (every.where("match_id % 2 = 0"), every):
+        part.write.mode("append").parquet(bronze)
+        micro_batch.stream_silver_tables(s.spark, bronze, target, progress, s.constants("abilities", "items")).awaitTermination()
+    return table_digests(micro_batch.silver_tables(s.spark, target))
+
+
+star("stream_silver_tables", _stream_silver_tables)
+ENTRIES["stream_silver_tables"] = Entry(
+    ENTRIES["stream_silver_tables"].run, digests_sql({n: models.SILVER_SQL[n] for n in SECTIONS})
+)
+
 GOLD = [n for n in models.ENTRIES if n.startswith(("dim_", "fact_"))]
 
 
-def _run_layers(s: Star) -> DataFrame:
-    """Build every table from bronze documents, stored layer by layer, and count the gold rows."""
+def _bronze(s: Star, root: str) -> dict[str, DataFrame]:
+    return {n: sinks.table_sink(df, f"{root}/raw_{n}") for n, df in s.driver.bronze().items()}
+
+
+@cache
+def _built(session: str, sf_dir: str) -> dict[str, DataFrame]:
+    """One stored build per session and folder; the queries on it read its tables."""
+    s = Star(SparkSession.getActiveSession(), sf_dir)
     root = fresh_path(s.spark, "build")
-    bronze = {n: sinks.table_sink(df, f"{root}/raw_{n}") for n, df in s.driver.bronze().items()}
-    tables = pipeline.run_layers(s.spark, None, root, bronze, load=False, check=False)
-    return sinks.row_counts({n: tables[n] for n in GOLD})
+    return pipeline.run_layers(s.spark, None, root, _bronze(s, root), load=False, check=False, freshness=False)
+
+
+def _build_of(s: Star) -> dict[str, DataFrame]:
+    return _built(s.spark.sparkContext.applicationId, s.driver.sf_dir)
+
+
+def _model_sql(name: str) -> str:
+    sql = models.ENTRIES[name].sql.removeprefix(PRELUDE)
+    # The registered queries of the fixed lists join them with the match data.
+    extra = {"dim_date": "matches", "dim_rune": "picked_up"}.get(name)
+    return f"SELECT * EXCLUDE ({extra}) FROM ({sql})" if extra else sql
+
+
+def _run_layers(s: Star) -> DataFrame:
+    """Build every table from bronze documents, stored layer by layer, and digest the gold tables."""
+    tables = _build_of(s)
+    return table_digests({n: tables[n] for n in GOLD})
 
 
 star("run_layers", _run_layers)
-ENTRIES["run_layers"] = Entry(
-    ENTRIES["run_layers"].run,
-    PRELUDE
-    + " UNION ALL ".join(
-        f"SELECT '{n}' AS \"table\", count(*) AS \"rows\" FROM"
-        f" ({models.ENTRIES[n].sql.removeprefix(PRELUDE)})"
-        for n in GOLD
-    ),
+ENTRIES["run_layers"] = Entry(ENTRIES["run_layers"].run, digests_sql({n: _model_sql(n) for n in GOLD}))
+
+
+def _run_increment(s: Star) -> DataFrame:
+    """Silver of half of the matches, then an increment with all of them; digests of what is stored then."""
+    root, silver = fresh_path(s.spark, "build"), fresh_path(s.spark, "silver")
+    bronze = _bronze(s, root)
+    half = bronze | {"matches": bronze["matches"].where("match_id % 2 = 0")}
+    for place, part in (("a", half), ("b", bronze)):
+        tables = pipeline.run_layers(
+            s.spark, None, f"{root}/{place}", part, load=False, gold=False, check=False, extend=silver
+        )
+    return table_digests({n: tables[n] for n in SECTIONS})
+
+
+def _run_refresh(s: Star) -> DataFrame:
+    """Stored silver that misses half of the matches; a full refresh must not rely on it."""
+    root, silver = fresh_path(s.spark, "build"), fresh_path(s.spark, "silver")
+    bronze = _bronze(s, root)
+    half = staging.parse_matches(bronze["matches"].where("match_id % 2 = 0"))
+    pipeline.extend_silver(half, bronze["constants"], silver)
+    tables = pipeline.run_layers(
+        s.spark, None, f"{root}/a", bronze, load=False, gold=False, check=False, extend=silver, full_refresh=True
+    )
+    return table_digests({n: tables[n] for n in SECTIONS})
+
+
+for _name, _run in (("run_increment", _run_increment), ("run_full_refresh", _run_refresh)):
+    star(_name, _run)
+    ENTRIES[_name] = Entry(ENTRIES[_name].run, digests_sql({n: models.SILVER_SQL[n] for n in SECTIONS}))
+
+
+def _check_summary(s: Star) -> DataFrame:
+    """Failing rows of every declared check over a whole build."""
+    return checks.summarize(_build_of(s))
+
+
+star("check_summary", _check_summary)
+CHECKED = sorted({c.table for c in checks.DECLARED_CHECKS} | {c.parent[0] for c in checks.DECLARED_CHECKS if c.parent[0]})
+ENTRIES["check_summary"] = Entry(
+    ENTRIES["check_summary"].run, checks_sql({n: models.RUNE_SQL if n == "rune_lookup" else _model_sql(n) for n in CHECKED})
 )

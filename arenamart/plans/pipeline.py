@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from arenamart.operators import checks, dimensions, facts, match_folds, staging
 from arenamart.sources.documents import load_folder
-from arenamart.sources.sinks import incremental_sink, snapshot_sink, stored, table_sink, unseen_rows
+from arenamart.sources.sinks import incremental_sink, snapshot_sink, table_sink, unseen_rows
+from arenamart.sources.versions import VersionedTable
 
 Tables = dict[str, DataFrame]
 Store = Callable[[str, DataFrame], DataFrame]
@@ -175,6 +176,10 @@ def build_gold(
     return g
 
 
+def _flattened(spark: SparkSession, folder: str) -> DataFrame | None:
+    return VersionedTable(spark, f"{folder}/flattened_matches", ["match_id"]).read()
+
+
 def extend_silver(nested: DataFrame, constants: DataFrame, folder: str) -> Tables:
     """Append the rows of matches that the stored silver tables do not have yet.
 
@@ -182,7 +187,7 @@ def extend_silver(nested: DataFrame, constants: DataFrame, folder: str) -> Table
     without any row in a model are not parsed again and a run that broke off is completed.
     """
     spark = nested.sparkSession
-    seen = stored(spark, f"{folder}/flattened_matches")
+    seen = _flattened(spark, folder)
     fresh = unseen_rows(nested, seen, ["match_id"])
     out = {}
     models = dict(staging.MATCH_MODELS)
@@ -213,6 +218,7 @@ def run_layers(
     *,
     load: bool = True,
     build: bool = True,
+    gold: bool = True,
     check: bool = True,
     freshness: bool = True,
     snapshot: str | None = None,
@@ -224,7 +230,7 @@ def run_layers(
     Every run writes below a new folder. ``bronze`` are stored bronze tables to extend (or to build
     from, without loading). With ``extend``, the folder of silver tables that outlive a run, only
     matches not flattened there are parsed and appended; ``full_refresh`` builds all of silver anew
-    instead. The result holds all tables, ``quarantine`` after a load, the number of failing rows
+    instead. Without ``gold`` the build ends with silver. The result holds all tables, ``quarantine`` after a load, the number of failing rows
     of each check as ``check_summary``, and ``freshness``.
     """
     store = stored_under(folder)
@@ -240,7 +246,7 @@ def run_layers(
     if not build:
         return tables
     if extend and not full_refresh:
-        fresh = _unflattened(tables["matches"], stored(spark, f"{extend}/flattened_matches"))
+        fresh = _unflattened(tables["matches"], _flattened(spark, extend))
         nested = store("nested_matches", staging.parse_matches(fresh))
         silver = extend_silver(nested, tables["constants"], extend) | reference_silver(tables)
         whole = None
@@ -249,10 +255,10 @@ def run_layers(
         silver = build_silver(nested, tables, store)
         whole = nested
     seed = rune_seed if rune_seed is not None else dimensions.rune_seed(spark)
-    gold = build_gold(silver, tables["constants"], seed, store, whole)
-    tables |= {"nested_matches": nested, "rune_lookup": seed} | silver | gold
+    marts = build_gold(silver, tables["constants"], seed, store, whole) if gold else {}
+    tables |= {"nested_matches": nested, "rune_lookup": seed} | silver | marts
     if check:
         tables["check_summary"] = checks.summarize(tables)
     if snapshot:
-        snapshot_sink(gold, snapshot)
+        snapshot_sink(marts, snapshot)
     return tables

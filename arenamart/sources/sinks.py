@@ -6,7 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from arenamart.sources.versions import VersionedTable, stored
 
 
 def table_sink(
@@ -38,16 +39,6 @@ def view_sink(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table under a path, or nothing if it was never written."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def unseen_rows(df: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows whose key is not in the target yet; rows without a key are left out."""
     df = df.where(" and ".join(f"`{k}` is not null" for k in keys))
@@ -78,14 +69,30 @@ def incremental_sink(
 ) -> DataFrame:
     """Append the rows with unseen keys and return the table.
 
-    Running it twice, or again after a failed run, adds nothing twice. With ``unique_key`` one row
-    of each grain is kept. ``full_refresh`` replaces what is stored.
+    Running it twice, or again after a failed run, adds nothing twice. The table is versioned, its rows
+    lie in buckets of the key's hash, and known keys are read from the buckets that the new keys fall
+    into, key columns only. With ``unique_key`` one row of each grain is kept. ``full_refresh`` replaces
+    what is stored, in one step at its end.
     """
-    fresh = df if full_refresh else unseen_rows(df, stored(df.sparkSession, path), keys)
+    spark = df.sparkSession
+    table = VersionedTable(spark, path, keys)
+    fresh = df if full_refresh else df.where(" and ".join(f"`{k}` is not null" for k in keys))
+    if not full_refresh and table.read() is not None:
+        fresh = unseen_rows(fresh, table.read(table.buckets_of(fresh)), keys)
     if unique_key:
         fresh = one_per_grain(fresh, unique_key)
-    fresh.write.mode("overwrite" if full_refresh else "append").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if full_refresh:
+        table.replace(fresh)
+    else:
+        table.append(fresh)
+    return table.read()
+
+
+def upsert_sink(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Store rows by key, replacing those that come again, and return the table."""
+    table = VersionedTable(df.sparkSession, path, [key])
+    table.upsert(df)
+    return table.read()
 
 
 def batch_sink(df: DataFrame, path: str, batch: int) -> None:
