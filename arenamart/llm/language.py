@@ -140,17 +140,23 @@ def pieces(text: bytes) -> list[bytes]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets and their counts, as packed numbers, of every piece of every text."""
     for batch in batches:
-        parts = [pieces((t or "").encode()) for t in batch.column("text").to_pylist()]
-        row = pa.array([i for i, p in enumerate(parts) for _ in p], pa.int64())
-        counts = [bucket_counts(x) for p in parts for x in p]
-        places = [np.flatnonzero(c) for c in counts]
+        row, buckets, counts = [], [], []
+        for i, text in enumerate(batch.column("text")):
+            for piece in pieces((text.as_py() or "").encode()):
+                dense = bucket_counts(piece)
+                places = np.flatnonzero(dense)
+                row.append(i)
+                buckets.append(places.astype(">u2").tobytes())
+                counts.append(dense[places].astype("<u4").tobytes())
+        same = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").take(row),
-                batch.column("lang").take(row),
-                pa.array(places, pa.list_(pa.int32())),
-                pa.array([c[p] for c, p in zip(counts, places, strict=True)], pa.list_(pa.int64())),
+                batch.column("doc_id").take(same),
+                batch.column("lang").take(same),
+                pa.array(buckets, pa.binary()),
+                pa.array(counts, pa.binary()),
             ],
             ["doc_id", "lang", "buckets", "counts"],
         )
@@ -167,14 +173,20 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         ids = ids.withColumn("_n", nth).where(F.col("_n") <= per_language).drop("_n")
     chosen = ids.select("doc_id").distinct()
     texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")
-    found = texts.mapInArrow(_features, "doc_id bigint, lang string, buckets array<int>, counts array<bigint>").collect()
-    if not found:
+    # An id may have any number of rows; one text of each language is learned from.
+    texts = texts.groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    found = texts.mapInArrow(_features, "doc_id bigint, lang string, buckets binary, counts binary").toArrow()
+    if not found.num_rows:
         return None
+    ids, langs, buckets, counts = (found.column(c).to_pylist() for c in ("doc_id", "lang", "buckets", "counts"))
+    del found
     rows, number = [], {}
-    for r in sorted(found, key=lambda r: (r["doc_id"], r["lang"], r["buckets"])):
-        counts = np.array(r["counts"], dtype=np.float64)
-        place = number.setdefault(r["doc_id"], len(number))
-        rows.append((r["lang"], np.array(r["buckets"]), counts / counts.sum(), place))
+    # Big-endian bytes sort like the numbers in them.
+    for i in sorted(range(len(ids)), key=lambda i: (ids[i], langs[i], buckets[i])):
+        own = np.frombuffer(counts[i], "<u4").astype(np.float64)
+        place = number.setdefault(ids[i], len(number))
+        rows.append((langs[i], np.frombuffer(buckets[i], ">u2").astype(np.int64), own / own.sum(), place))
+        buckets[i] = counts[i] = None
     return train(rows)
 
 
@@ -199,10 +211,10 @@ def score_batch(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, p = score_batch(model, batch.column("_text"))
+            best, p = score_batch(model, batch.column("row").field("text"))
             names = pa.array([model.languages[i] for i in best], pa.string())
-            arrays = [*(batch.column(c) for c in batch.schema.names if c != "_text"), names, pa.array(p, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*(c for c in batch.schema.names if c != "_text"), "_lang", "_score"])
+            columns = [batch.column("row"), batch.column("_letters"), names, pa.array(p, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "_letters", "_lang", "_score"])
 
     return run
 
@@ -210,7 +222,7 @@ def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """Every document as the struct ``row``, with lang_pred, score and rejected."""
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(F.struct("*").alias("row"), letters.alias("_letters"), F.col("text").alias("_text"))
+    rows = docs.select(F.struct("*").alias("row"), letters.alias("_letters"))
     if model is None:
         return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     kind = rows.schema["row"].dataType
