@@ -9,6 +9,7 @@ those buckets only. A table has one writer at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,11 +44,11 @@ class VersionedTable:
 
     def _listed(self) -> tuple[int, list]:
         """Number and rows of the newest list: at most buckets x data folders rows."""
-        lists = stored(self.spark, f"{self.path}/versions")
-        if lists is None:
+        numbers = _numbers(stored(self.spark, f"{self.path}/versions"), "n")
+        if not numbers:
             return 0, []
-        number = lists.agg(F.max("n")).first()[0]
-        return number, lists.where(F.col("n") == number).select("bucket", "folder", "schema").collect()
+        newest = self.spark.read.schema(LIST).parquet(f"{self.path}/versions/n={max(numbers)}")
+        return max(numbers), newest.collect()
 
     def read(self, buckets: list[int] | None = None) -> DataFrame | None:
         """The table, or those buckets of it; nothing if there is no version yet."""
@@ -70,8 +71,7 @@ class VersionedTable:
         # Rebalanced, so that a bucket gets few files and a large one still several tasks.
         rows = df.withColumn(BUCKET, bucket_of(self.keys, self.buckets)).hint("rebalance", BUCKET)
         rows.write.partitionBy(BUCKET).parquet(folder)
-        found = stored(self.spark, folder)
-        return folder, [] if found is None else [r[0] for r in found.select(BUCKET).distinct().collect()]
+        return folder, sorted(_numbers(stored(self.spark, folder), BUCKET))
 
     def _commit(self, number: int, rows: list[tuple[int, str]], schema: str) -> None:
         # A table without rows is listed too, so that its schema is known.
@@ -118,5 +118,11 @@ class VersionedTable:
         self._commit(number + 1, kept + [(b, folder) for b in touched_now], schema)
 
 
+def _numbers(df: DataFrame | None, column: str) -> set[int]:
+    """Values of a partition column, from the names of the files."""
+    found = (re.search(rf"/{column}=(\d+)/", f) for f in (df.inputFiles() if df is not None else []))
+    return {int(m[1]) for m in found if m}
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
