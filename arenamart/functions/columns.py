@@ -104,6 +104,19 @@ def json_kind(text: Column) -> Column:
     )
 
 
+def variant_kind(value: Column) -> Column:
+    """Kind of a JSON value by its own type; a missing value and a JSON null are both ``null``."""
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(kind.isNull() | (kind == "VOID"), "null")
+        .when(kind.startswith("OBJECT"), "object")
+        .when(kind.startswith("ARRAY"), "array")
+        .when(kind == "STRING", "string")
+        .when(kind == "BOOLEAN", "boolean")
+        .otherwise("number")
+    )
+
+
 def display_name(name: Column, prefix: str) -> Column:
     return F.upper(F.replace(name, F.lit(prefix), F.lit("")))
 

@@ -462,14 +462,11 @@ json(
 json(
     "json_object_explode",
     lambda d: d.select(
-        "event_id", F.explode(F.from_json("doc", "map<string,string>")).alias("field", "value")
+        "event_id", F.explode(F.from_json("doc", "map<string,variant>")).alias("field", "value")
     ).select(
         "event_id",
         "field",
-        F.when(F.col("value").isNull(), "null")
-        # The map keeps the text of a string member without its quotes.
-        .when(F.col("field") == "type", "string")
-        .otherwise(C.json_kind(F.col("value")))
+        C.variant_kind(F.col("value"))
         .alias("kind"),
     ),
     "SELECT event_id, unnest(['type', 'user', 'props', 'ids', 'parts', 'counts']) AS field,"
