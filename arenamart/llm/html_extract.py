@@ -3,12 +3,14 @@
 A page becomes a list of blocks; each knows its zone: ``article`` (inside article or main), ``body``
 (elsewhere) or none, if it is dropped by its element or class (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments). Class, id, role, hidden and the element form
-never drop an article or main, nor an element that one starts in; elements by whose own name text goes
-(nav, aside, footer, a page's header) go with all that is in them. The words of all blocks that are left
-form the page's token stream.
-
-The streams of a host's pages are concatenated; prefix doubling sorts the suffixes by their first ``RUN``
-tokens, and suffixes of one rank are the occurrences of a repeated substring. A larger host is dealt by
+never drop an outermost article or main, nor an element that one starts in; elements by whose own name text
+goes (nav, aside, footer, a page's header) and elements whose class or id names reader comments go with all
+that is in them. An article inside an article is a part like others, and goes if it is hinted at; so
+does one named as a comment behind another article. The words of all blocks that are left form the page's
+token stream.
+
+The streams of a host's pages are concatenated and their suffixes sorted by prefix doubling; neighbours in
+that order that share ``RUN`` tokens or more are the occurrences of a repeated substring. A larger host is dealt by
 hash over chunks of about ``CHUNK_BYTES``, so that no task holds a whole host; there runs of ``RUN`` tokens
 have 64-bit hashes, chunks count their distinct pages, and the counts are summed over the host. A token is
 covered if it lies in a run that enough distinct pages of the host hold. Pages with equal streams count
@@ -18,7 +20,8 @@ A page with an article keeps the article: its passages may repeat on other pages
 nearly all pages of the host hold them. A page without one keeps what is not covered: its unique runs.
 
 Defined results: null or empty html gives an empty text; broken or unclosed markup is read as far as it
-goes; equal rows get equal results; an empty table gives no rows; extra columns are dropped.
+goes, in time that grows with the page: a quote that never closes holds no value, and if no > is left the rest
+is text; equal rows get equal results; an empty table gives no rows; extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import hashlib
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,13 +51,15 @@ BODY_LEAST = 3
 #: An article passage goes only if this share of the host's distinct pages holds it, and ``ARTICLE_LEAST`` at least.
 ARTICLE_SHARE, ARTICLE_LEAST = 0.9, 10
 
-SCAN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
+#: Inside a tag, what stands before its end: quotes hold a value only directly behind an equals sign.
+INSIDE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+"
+#: A comment, a tag, another declaration, or the start of one of these that nothing ends. Possessive, as a
+#: page must be read in one pass.
+SCAN, PLAIN = (
+    re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-z][a-z0-9:-]*+)({inside})>|<[!?/][^>]*+>|<(?=[!?/a-z])", re.S | re.I) for inside in (INSIDE, "[^>]*+")
 )
+#: Elements whose content is no markup: skipped to their end tag or to the end of the page.
+RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "title", "xmp")}
 #: Elements skipped whole up to their end tag; without one only the start tag is skipped.
 SKIPPED = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("noscript", "template", "svg", "iframe")}
 #: One attribute: the name at the start or behind white space or a slash, the value consumed whole.
@@ -80,6 +86,9 @@ PARTS = frozenset(
     "area bar block bottom box button buttons col column container fixed form global group icon icons inner item items js left "
     "link links list main mobile outer panel primary right row secondary section site slot sticky top unit wrap wrapper".split()
 )
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+#: Words that name parts of reader comments, if one of ``COMMENTS`` stands beside them.
+COMMENT_PARTS = frozenset("author body children content count entry feed meta reader readers text thread title user users".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CASED = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
@@ -87,7 +96,19 @@ CASED = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 def _names_hint(name: str) -> bool:
     """Whether a class name consists of hint words and names of parts, as share-bar does."""
     words = {w.lower() for w in CASED.split(name) if w}
-    return not HINTS.isdisjoint(words) and words <= HINTS | PARTS
+    return not HINTS.isdisjoint(words) and words <= HINTS | PARTS or _names_comments(name)
+
+
+def _names_comments(name: str) -> bool:
+    words = {w.lower() for w in CASED.split(name) if w}
+    return not COMMENTS.isdisjoint(words) and words <= HINTS | PARTS | COMMENT_PARTS
+
+
+def _commented(attributes: str) -> bool:
+    """Whether class or id mark an element as reader comments."""
+    return any(
+        name.lower() in ("class", "id") and any(map(_names_comments, value.strip("\"'").split())) for name, value in ATTRIBUTE.findall(attributes)
+    )
 
 
 def _hinted(attributes: str) -> bool:
@@ -108,6 +129,7 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
     #: starts in it, or 0; for 4 the items and the articles before it.
     stack: list[tuple[str, int, int, int]] = []
     dropped = article = header = articles = 0
+    opened: Counter[str] = Counter()  # names on the stack
 
     def flush() -> None:
         if items and not isinstance(items[-1], bool):
@@ -116,29 +138,42 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
     def pop() -> str:
         nonlocal dropped, article, header
         name, kind, start, before = stack.pop()
+        opened[name] -= 1
         if kind == 4 and articles == before:
             items[start:] = [x for x in items[start:] if isinstance(x, bool)][:1]
         dropped, article, header = dropped - (kind == 1), article - (kind == 2), header - (kind == 3)
         return name
 
     def close(name: str) -> None:
-        if any(x[0] == name for x in stack):
+        if opened[name]:
             while pop() != name:
                 pass
 
-    at, page = 0, page or ""
+    at, page, scan, main_seen = 0, page or "", SCAN, False
     endless: set[str] = set()  # skipped elements without an end tag in the rest of the page
-    while m := SCAN.search(page, at):
-        if m.start() > at and not dropped and (not header or any(x[0] in HEADINGS for x in stack)):
+    while m := scan.search(page, at):
+        if m.start() > at and not dropped and (not header or any(opened[x] for x in HEADINGS)):
             items.append(page[at : m.start()])
         at = m.end()
-        end, name = m.group(2), m.group(3)
+        end, name = m.group(1), m.group(2)
+        if at == m.start() + 1:
+            at -= 1
+            if scan is PLAIN:
+                # No > is left, so that the rest is text, up to a comment.
+                page = page[: page.find("<!--", at) % (len(page) + 1)]
+                break
+            scan = PLAIN  # a quoted value has taken the last >: from here on tags end at the first
         if name is None:
             continue
         name = name.lower()
+        if name in RAW and not end:
+            last = RAW[name].search(page, at)
+            at = last.end() if last else len(page)
+            continue
         if name in SKIPPED:
-            if not end and name not in endless and not (name == "svg" and m.group(4).endswith("/")):
-                if last := SKIPPED[name].search(page, at):
+            if not end and name not in endless and not (name == "svg" and m.group(3).endswith("/")):
+                last = SKIPPED[name].search(page, at)
+                if last:
                     at = last.end()
                 else:
                     endless.add(name)
@@ -152,18 +187,23 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
                 close("head")
             if name in ENDS_P and stack and stack[-1][0] == "p" or name == "li" and stack and stack[-1][0] == "li":
                 close(stack[-1][0])
-            attributes = m.group(4)
-            kind = 0
+            attributes = m.group(3)
+            kind, comments = 0, name not in ("html", "body", "main") and bool(attributes) and _commented(attributes)
+            nested = opened["article"] > 0
             if name in DROPPED_TAGS or name == "header" and not article:
                 kind = 1
-            elif name in ("article", "main"):
+            elif comments and (name != "article" or nested or main_seen):
+                kind = 1
+            elif name in ("article", "main") and not nested:
                 kind = 2
                 articles += not dropped
+                main_seen |= name == "article" and not dropped
             elif name == "form" or name not in ("html", "body") and attributes and _hinted(attributes):
                 kind = 4
             elif name == "header":
                 kind = 3
             stack.append((name, kind, len(items), articles))
+            opened[name] += 1
             dropped, article, header = dropped + (kind == 1), article + (kind == 2), header + (kind == 3)
     if not dropped:
         items.append(page[at:])
@@ -181,14 +221,32 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
     return found
 
 
-def run_ranks(tokens: np.ndarray) -> np.ndarray:
-    """For each position the rank of the suffix there by its first ``RUN`` tokens (prefix doubling)."""
-    rank, length = tokens.astype(np.int64), 1
-    while length < RUN:
+def suffixes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array by prefix doubling, and how many tokens each suffix shares with the one before."""
+    size, length = len(tokens), 1
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    ranks = [rank]  # by the first 1, 2, 4, ... tokens, until all differ
+    while int(rank.max(initial=-1)) + 1 < size:
         ahead = np.zeros_like(rank)
         ahead[:-length] = rank[length:] + 1
-        _, rank = np.unique(rank * (int(ahead.max(initial=0)) + 1) + ahead, return_inverse=True)
+        rank = np.unique(rank * (size + 1) + ahead, return_inverse=True)[1].astype(np.int64)
+        ranks.append(rank)
         length *= 2
+    order = np.empty(size, np.int64)
+    order[rank] = np.arange(size)
+    left, right, shared = order[:-1].copy(), order[1:].copy(), np.zeros(max(size - 1, 0), np.int64)
+    for k in reversed(range(len(ranks))):
+        level = np.append(ranks[k], -1)  # behind the end; two suffixes never end together
+        step = (level[np.minimum(left, size)] == level[np.minimum(right, size)]).astype(np.int64) << k
+        left, right, shared = left + step, right + step, shared + step
+    return order, np.append(0, shared)[:size]
+
+
+def run_ranks(tokens: np.ndarray) -> np.ndarray:
+    """For each position the number, in suffix order, of the longest interval of the suffix array whose suffixes share ``RUN`` tokens."""
+    order, shared = suffixes(tokens)
+    rank = np.empty(len(tokens), np.int64)
+    rank[order] = np.cumsum(shared < RUN) - 1
     return rank
 
 
@@ -267,7 +325,11 @@ def main_texts(blocks: list[list[tuple[str, bool]]], marks: tuple[np.ndarray, np
         body = everywhere = [np.zeros(len(s), bool) for s in streams]
     else:
         hashes = run_hashes(streams)
-        body, everywhere = ([_spread(np.flatnonzero(np.isin(r, m)), len(s)) for r, s in zip(hashes, streams, strict=True)] for m in marks)
+        # Looked up once for the whole chunk, then cut by page.
+        flat, cuts = np.concatenate(hashes), np.cumsum([len(r) for r in hashes])[:-1]
+        body, everywhere = (
+            [_spread(np.flatnonzero(x), len(s)) for x, s in zip(np.split(np.isin(flat, m), cuts), streams, strict=True)] for m in marks
+        )
     out = []
     for own, in_body, in_all in zip(blocks, body, everywhere, strict=True):
         has_article, at, kept = any(inside for _, inside in own), 0, []

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -139,3 +140,86 @@ def test_repeats_count_over_the_whole_host(spark, monkeypatch):
     monkeypatch.setattr(h, "CHUNK_BYTES", 500)
     got = h.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     assert {r.page_id: r.text for r in got} == want and len(got) == len(rows)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<p title=it's>Hello, it's fine</p><p>Second</p>", "Hello, it's fine\nSecond"),
+    ('<p class=a">Text "quoted" more</p>', 'Text "quoted" more'),
+    ("<p>a<a href=x?y='b>c</a>", "ac"),
+    ('a <b x="1>2', "a 2"),
+    ('<p>a<a x="b>c" d', 'ac" d'),
+    ("x <a <!-- y", "x <a"),
+])
+def test_quotes_open_a_value_only_behind_an_equals_sign(page, text):
+    assert text_of(page) == text
+
+
+@pytest.mark.parametrize("comments", [
+    '<section class="comments"><article class="comment"><p>c</article></section>',
+    '<ol class="comment-list"><li><article><p>c</article></ol>',
+    '<div class="comment-content"><p>c</div><div class="userComments">c</div>',
+    '<article id="comment"><p>c</article>',
+])
+def test_reader_comments_go_with_their_articles(comments):
+    assert text_of(f"<article><p>m</p>{comments}</article>") == "m"
+    assert text_of(f"<article><p>m</p></article>{comments}") == "m"
+    if "section" in comments:
+        assert text_of(f"<div><p>m</p></div>{comments}") == "m"
+
+
+def test_articles_in_articles_are_parts():
+    assert text_of('<article><p>a</p><article><p>b</p></article><div class="related"><article>r</article></div></article>') == "a\nb"
+
+
+@pytest.mark.parametrize("part", [
+    "<p>It's 5 <b class='x>bold</b> here</p>", "<a ", "<script", "</", "<font><p>x</p>", '<a x="b>c" ', "<a x='", '<div class="ad"><p>x', "<header><h1>",
+])
+def test_broken_pages_take_linear_time(part):
+    def seconds(size):
+        page, start = part * (size // len(part)), time.process_time()
+        text_of(page)
+        return time.process_time() - start
+
+    assert seconds(1_000_000) < 6
+
+
+def test_chunks_of_many_pages_take_linear_time():
+    rnd = np.random.default_rng(1)
+    blocks = [[(" ".join(f"w{x}" for x in rnd.integers(0, 5000, 250)), False)] for _ in range(1500)]
+    runs = np.unique(np.concatenate(h.run_hashes([h.stream_of(b) for b in blocks])))
+    start = time.process_time()
+    assert set(h.main_texts(blocks, (runs, runs[:3]))) == {""}
+    assert time.process_time() - start < 10
+
+
+def test_suffixes_are_sorted_and_share_prefixes():
+    rnd = np.random.default_rng(3)
+    for trial in range(60):
+        tokens = rnd.integers(0, 2 + trial % 4, rnd.integers(0, 60))
+        order, shared = h.suffixes(tokens)
+        plain = tokens.tolist()
+        assert order.tolist() == sorted(range(len(plain)), key=lambda i: plain[i:])
+        for k in range(1, len(plain)):
+            left, right = plain[order[k - 1] :], plain[order[k] :]
+            assert shared[k] == next((i for i, (a, b) in enumerate(zip(left, right, strict=False)) if a != b), min(len(left), len(right)))
+
+
+def test_covered_tokens_against_brute_force():
+    rnd = np.random.default_rng(5)
+    passages = [rnd.integers(0, 9, rnd.integers(5, 14)).astype(str).tolist() for _ in range(6)]
+    for _ in range(30):
+        streams = [sum((passages[k] for k in rnd.integers(0, 6, rnd.integers(0, 5))), []) for _ in range(8)]
+        distinct = {tuple(s) for s in streams}
+
+        def holds(run, least, distinct=distinct):
+            return sum(any(s[i : i + h.RUN] == run for i in range(len(s))) for s in distinct) >= least
+
+        body, everywhere, n = h.covered(streams)
+        assert n == len(distinct)
+        for masks, least in ((body, h.BODY_LEAST), (everywhere, max(h.ARTICLE_LEAST, h.ARTICLE_SHARE * n))):
+            for s, mask in zip(streams, masks, strict=True):
+                want = np.zeros(len(s), bool)
+                for i in range(len(s) - h.RUN + 1):
+                    if holds(tuple(s[i : i + h.RUN]), least):
+                        want[i : i + h.RUN] = True
+                assert mask.tolist() == want.tolist()
