@@ -30,6 +30,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,21 +46,9 @@ PIECES = 2_000_000
 #: Ids in one block, and in one part, about.
 BLOCK_IDS = 1 << 20
 PART_IDS = 1 << 24
-#: White space other than space and line feed.
-OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def pieces_of(text: str) -> list[str] | None:
-    """Parts that start with one space (left out) or one line feed; None for other white space.
-
-    Before a run of white space the tokenizer's pattern always starts anew, so that the ids of a text
-    are those of its parts, put together. Texts with longer runs are encoded as they are.
-    """
-    if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", " \n", "\n ", "\n\n")):
-        return None
-    if any(x in text for x in "\t\r\x0b\x0c") if text.isascii() else OTHER_SPACE.search(text):
-        return None
-    return text.replace("\n", " \n").split(" ")
+#: Texts that are not split: empty ones, those with other white space than single spaces and line feeds
+#: between pieces. The strings of added tokens come behind it.
+WHOLE = r"^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\r\x0b\x0c\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 class Encoder:
@@ -72,7 +61,9 @@ class Encoder:
     def __init__(self, path: str, ordinary: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
-        self.added = tuple(a.content for a in self.tokenizer.get_added_tokens_decoder().values())
+        # The tokenizer looks for added tokens before it splits, so that texts with one stay whole.
+        added = [a.content for a in self.tokenizer.get_added_tokens_decoder().values() if a.content]
+        self.whole = "|".join([WHOLE, *(re.sub(r"(\W)", r"\\\1", a) for a in added)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         # A byte-level vocabulary writes each byte of a token as one letter.
         self.bytes_of = np.ones(1 + max(vocabulary.values()), np.int64)
@@ -98,35 +89,51 @@ class Encoder:
         self.filled += len(ids)
         self.known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        # The fast form leaves out the places of tokens in the text, which nothing here asks for.
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, pieces: list[str]) -> None:
         """Encodes new pieces, many in one text; the bytes of the ids tell where each ends."""
         for at in range(0, len(pieces), 1024):
             part = pieces[at : at + 1024]
             full = [p if p[0] == "\n" else " " + p for p in part]
-            ids = np.array(self.tokenizer.encode("".join(full), add_special_tokens=False).ids, np.uint32)
+            ids = self._ids(["".join(full)])[0]
             ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in full])) + 1
             self._keep(part, ids, np.diff(ends, prepend=0))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, the end id not included."""
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text, the end id not included.
+
+        A text is split into parts that start with one space (left out) or one line feed: before a run of
+        white space the tokenizer's pattern always starts anew, so that the ids of a text are those of its
+        parts, put together. Each distinct part of the texts is looked up once.
+        """
         if len(self.known) > PIECES:
             self.clear()
-        # The tokenizer looks for added tokens before it splits, so that texts with one stay whole.
-        split = [None if any(a in t for a in self.added) else pieces_of(t) for t in texts]
-        # The first piece of a text has no space before it and is encoded with the other whole texts.
-        whole = [t if s is None else s[0] for t, s in zip(texts, split, strict=True)]
-        heads = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)]
-        flat = [p for s in split if s for p in s[1:]]
-        codes = list(map(self.known.get, flat))
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(texts):
+            return []
+        whole = pc.match_substring_regex(texts, self.whole)
+        # A text that stays whole is its own first piece.
+        split = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n"), " ")
+        pieces, sizes = split.flatten(), split.value_lengths().to_numpy()
+        first = np.cumsum(sizes) - sizes
+        # The first piece of a text has no space before it and is encoded with the whole texts.
+        heads = self._ids(pc.if_else(whole, texts, pieces.take(pa.array(first))).to_pylist())
+        behind = np.ones(len(pieces), bool)
+        behind[first] = False
+        flat = pieces.filter(pa.array(behind)).dictionary_encode()
+        distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = list(map(self.known.get, distinct))
         if None in codes:
-            self._learn(list(dict.fromkeys(p for p, c in zip(flat, codes, strict=True) if c is None)))
-            codes = list(map(self.known.get, flat))
-        codes = np.array(codes, np.int64)
+            self._learn([p for p, c in zip(distinct, codes, strict=True) if c is None])
+            codes = list(map(self.known.get, distinct))
+        codes = np.array(codes, np.int64)[flat.indices.to_numpy()]
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         places = np.repeat(self.starts[codes] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-        at = np.append(0, ends)[np.cumsum([len(s) - 1 if s else 0 for s in split], dtype=np.int64)] if texts else []
-        tails = np.split(self.ids[places], at[:-1]) if texts else []
+        tails = np.split(self.ids[places], np.append(0, ends)[np.cumsum(sizes - 1)][:-1])
         return [np.concatenate(x) if len(x[1]) else x[0] for x in zip(heads, tails, strict=True)]
 
 
@@ -158,7 +165,7 @@ def _tokenize(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [np.append(x, np.uint32(END)) for x in own.encode([t or "" for t in part.column("text").to_pylist()])]
+                ids = [np.append(x, np.uint32(END)) for x in own.encode(pc.fill_null(part.column("text"), ""))]
                 counts = np.bincount(np.concatenate(ids), minlength=len(total))
                 counts[: len(total)] += total
                 total = counts
