@@ -42,7 +42,9 @@ from arenamart.session import fresh_path
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 #: Pieces that a worker remembers; then it starts afresh.
-PIECES = 2_000_000
+PIECES = 1_000_000
+#: Texts that are encoded at a time: so many rows, or bytes if that is less (a longer text goes alone).
+SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20
 #: Ids in one block, and in one part, about.
 BLOCK_IDS = 1 << 20
 PART_IDS = 1 << 24
@@ -93,14 +95,17 @@ class Encoder:
         # The fast form leaves out the places of tokens in the text, which nothing here asks for.
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, names: list[str], pieces: pa.Array) -> None:
         """Encodes new pieces, many in one text; the bytes of the ids tell where each ends."""
-        for at in range(0, len(pieces), 1024):
-            part = pieces[at : at + 1024]
-            full = [p if p[0] == "\n" else " " + p for p in part]
-            ids = self._ids(["".join(full)])[0]
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in full])) + 1
-            self._keep(part, ids, np.diff(ends, prepend=0))
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), pieces, pa.scalar(" ", pa.large_string()))
+        full = pc.if_else(pc.starts_with(pieces, "\n"), pieces, spaced)
+        # An Arrow array holds its strings one behind the other.
+        edges, data = np.frombuffer(full.buffers()[1], np.int64)[full.offset :][: len(full) + 1], memoryview(full.buffers()[2])
+        for at in range(0, len(names), 1024):
+            edge = edges[at : at + 1025]
+            ids = self._ids([str(data[edge[0] : edge[-1]], "utf-8")])[0]
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), edge[1:] - edge[0]) + 1
+            self._keep(names[at : at + 1024], ids, np.diff(ends, prepend=0))
 
     def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """Ids of each text, the end id not included.
@@ -127,7 +132,8 @@ class Encoder:
         distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = list(map(self.known.get, distinct))
         if None in codes:
-            self._learn([p for p, c in zip(distinct, codes, strict=True) if c is None])
+            new = pa.array([c is None for c in codes])
+            self._learn([p for p, c in zip(distinct, codes, strict=True) if c is None], flat.dictionary.filter(new))
             codes = list(map(self.known.get, distinct))
         codes = np.array(codes, np.int64)[flat.indices.to_numpy()]
         lengths = self.lengths[codes]
@@ -153,6 +159,17 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{data[0]}")
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Place and length of the slices of a batch; neighbours may all be long, as after a sort by size."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        most = (ends[at - 1] if at else 0) + SLICE_BYTES
+        stop = min(max(at + 1, int(np.searchsorted(ends, most, "right"))), at + SLICE_ROWS)
+        yield at, stop - at
+        at = stop
+
+
 IDS = "doc_id bigint, n bigint, ids binary, seen array<bigint>, times array<bigint>"
 
 
@@ -163,8 +180,8 @@ def _tokenize(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = encoder(path), np.zeros(0, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at, rows in _slices(batch.column("text")):
+                part = batch.slice(at, rows)
                 ids = [np.append(x, np.uint32(END)) for x in own.encode(pc.fill_null(part.column("text"), ""))]
                 counts = np.bincount(np.concatenate(ids), minlength=len(total))
                 counts[: len(total)] += total

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF
 from edge_rows import edge, nothing  # noqa: F401
@@ -101,3 +102,11 @@ def test_added_tokens_get_the_ids_of_the_loaded_tokenizer(spark):
     got = sorted(tuple(r) for r in t.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect())
     starts = np.cumsum([0, *[len(x) + 1 for x in want]]).tolist()
     assert got == [(i, starts[i], len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for i, x in enumerate(want)]
+
+
+def test_slices_are_bounded_by_bytes_and_rows(monkeypatch):
+    monkeypatch.setattr(t, "SLICE_BYTES", 100)
+    monkeypatch.setattr(t, "SLICE_ROWS", 4)
+    texts = pa.array(["x" * 250, "é" * 30, "y" * 40, "z", None, "", "", "", "w" * 101, "v" * 100])
+    assert list(t._slices(texts)) == [(0, 1), (1, 2), (3, 4), (7, 1), (8, 1), (9, 1)]
+    assert list(t._slices(pa.array([], pa.string()))) == []
