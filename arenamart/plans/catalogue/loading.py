@@ -413,14 +413,61 @@ star(
 )
 
 
+SAMPLE, FOCUS = 200, 12
+
+
 def _sample(s: Star) -> DataFrame:
     """The choice reads the flags several times, so they are written once."""
     path = fresh_path(s.spark, "flags")
     flags = sinks.table_sink(coverage.coverage_flags(s.nested()), path)
-    return coverage.coverage_sample(flags, 200)
+    return coverage.coverage_sample(flags, SAMPLE, FOCUS)
+
+
+BEST = "richness DESC, n_teamfights DESC, n_picks_bans DESC, name"
+
+
+def _sample_sql() -> str:
+    """The greedy choice as a recursion: one step for each branch, which picks its best free match."""
+    tests = [f"SELECT {i} AS code, * FROM flags WHERE {test}" for i, test in enumerate(coverage.BRANCHES)]
+    for k, field in enumerate(coverage.DIVERSE_FIELDS, 1):
+        tests.append(
+            f"""SELECT {100 * k} + place AS code, flags.* FROM flags JOIN (
+         SELECT {field}, row_number() OVER (ORDER BY count(*) DESC, {field}) AS place
+         FROM flags WHERE {field} IS NOT NULL GROUP BY {field}) USING ({field})
+       WHERE place <= {coverage.DIVERSE_VALUES}"""
+        )
+    union = "\n  UNION ALL BY NAME ".join(tests)
+    return PRELUDE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip().rstrip(",") + f""",
+flags AS MATERIALIZED ({RICH_SQL}),
+candidates AS MATERIALIZED (
+  SELECT dense_rank() OVER (ORDER BY code) AS branch, name,
+         row_number() OVER (PARTITION BY code ORDER BY {BEST}) AS pos FROM ({union})),
+picks AS (
+  SELECT CAST(1 AS BIGINT) AS branch, CAST([] AS VARCHAR[]) AS chosen
+  UNION ALL
+  SELECT branch + 1, list_concat(chosen, list_filter([(
+    SELECT arg_min(c.name, c.pos) FROM candidates c
+    WHERE c.branch = picks.branch AND NOT list_contains(picks.chosen, c.name))], lambda x: x IS NOT NULL))
+  FROM picks WHERE branch <= (SELECT max(branch) FROM candidates)),
+required AS (
+  SELECT unnest(chosen) AS name, generate_subscripts(chosen, 1) AS first
+  FROM (SELECT chosen FROM picks ORDER BY branch DESC LIMIT 1)),
+focus AS (
+  SELECT leagueid, row_number() OVER (ORDER BY count(*) DESC, min(name)) AS turn
+  FROM flags GROUP BY leagueid ORDER BY turn LIMIT {FOCUS}),
+rest AS (
+  SELECT flags.*, turn FROM flags LEFT JOIN focus ON flags.leagueid IS NOT DISTINCT FROM focus.leagueid
+  WHERE name NOT IN (SELECT name FROM required)),
+queue AS (
+  SELECT name, 0 AS stage, first, 0 AS second FROM required
+  UNION ALL SELECT name, 1, row_number() OVER (PARTITION BY turn ORDER BY {BEST}), turn FROM rest WHERE turn IS NOT NULL
+  UNION ALL SELECT name, 2, row_number() OVER (ORDER BY {BEST}), 0 FROM rest WHERE turn IS NULL)
+SELECT name, row_number() OVER (ORDER BY stage, first, second) AS place
+FROM queue QUALIFY place <= {SAMPLE}"""
 
 
 star("coverage_sample", _sample)
+ENTRIES["coverage_sample"] = Entry(ENTRIES["coverage_sample"].run, _sample_sql())
 
 # Streams and the whole build -------------------------------------------------------------------------
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from arenamart.operators import checks, dimensions, facts, match_folds, staging
 from arenamart.sources.documents import load_folder
-from arenamart.sources.sinks import incremental_sink, snapshot_sink, table_sink, unseen_rows
+from arenamart.sources.sinks import catalog_tables, incremental_sink, snapshot_sink, table_sink, unseen_rows
 from arenamart.sources.versions import VersionedTable
 
 Tables = dict[str, DataFrame]
@@ -222,6 +222,7 @@ def run_layers(
     check: bool = True,
     freshness: bool = True,
     snapshot: str | None = None,
+    catalog: str | None = None,
     extend: str | None = None,
     full_refresh: bool = False,
 ) -> Tables:
@@ -230,7 +231,8 @@ def run_layers(
     Every run writes below a new folder. ``bronze`` are stored bronze tables to extend (or to build
     from, without loading). With ``extend``, the folder of silver tables that outlive a run, only
     matches not flattened there are parsed and appended; ``full_refresh`` builds all of silver anew
-    instead. Without ``gold`` the build ends with silver. The result holds all tables, ``quarantine`` after a load, the number of failing rows
+    instead. Without ``gold`` the build ends with silver. With ``catalog``, a database name, the gold tables
+    are shown there with statistics of all columns once the build stands. The result holds all tables, ``quarantine`` after a load, the number of failing rows
     of each check as ``check_summary``, and ``freshness``.
     """
     store = stored_under(folder)
@@ -261,4 +263,6 @@ def run_layers(
         tables["check_summary"] = checks.summarize(tables)
     if snapshot:
         snapshot_sink(marts, snapshot)
+    if catalog:
+        catalog_tables(spark, folder, list(marts), catalog)
     return tables

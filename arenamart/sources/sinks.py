@@ -122,6 +122,19 @@ def analyze_tables(spark: SparkSession, names: list[str]) -> None:
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def catalog_tables(spark: SparkSession, folder: str, names: list[str], database: str) -> None:
+    """Show stored tables under their names in a database, with statistics for the optimizer.
+
+    A name that is already there is pointed at the new folder; the data of the old one is left alone, as
+    the catalog only refers to it. Nothing but the statistics is computed.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.catalog.createTable(f"{database}.{name}", f"{folder.rstrip('/')}/{name}", "parquet")
+    analyze_tables(spark, [f"`{database}`.`{name}`" for name in names])
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from arenamart.session import fresh_path
 from arenamart.sources import documents, sinks, worklists
 
 STAMP = "2026-01-01T00:00:00Z"
@@ -127,3 +128,23 @@ def test_save_table_and_view(spark):
     sinks.analyze_tables(spark, ["kept_rows"])
     assert sinks.view_sink(df, "seen_rows").count() == 2
     spark.sql("drop table kept_rows")
+
+
+def test_catalog_tables_follow_the_last_build_and_carry_statistics(spark):
+    database = "catalog_" + fresh_path(spark, "x")[-32:]
+    for rows in (10, 40):
+        folder = fresh_path(spark, "build")
+        sinks.table_sink(spark.range(rows).selectExpr("id", "id % 4 as kind"), f"{folder}/fact")
+        sinks.table_sink(spark.range(4).selectExpr("id as kind"), f"{folder}/dim")
+        sinks.catalog_tables(spark, folder, ["fact", "dim"], database)
+        stats = spark.sql(f"describe extended {database}.fact").where("col_name = 'Statistics'").first()
+        assert f"{rows} rows" in stats.data_type
+        kinds = spark.sql(f"describe extended {database}.fact kind").where("info_name = 'distinct_count'").first()
+        assert kinds.info_value == "4"
+    # With the cost model on, the planner knows the rows of a filter on a listed column.
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        plan = spark.table(f"{database}.fact").where("kind = 1")._jdf.queryExecution().stringWithStats()
+        assert "rowCount=10" in plan
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
