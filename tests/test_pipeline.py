@@ -17,7 +17,7 @@ from arenamart.streaming import micro_batch
 def built(spark):
     root = fresh_path(spark, "build")
     bronze = {n: table_sink(df, f"{root}/raw_{n}") for n, df in DriverTables(spark, SF).bronze().items()}
-    tables = pipeline.run_layers(spark, None, root, bronze, load=False, snapshot=f"{root}/copies")
+    tables = pipeline.run_layers(spark, None, root, bronze, load=False, snapshot=f"{root}/copies", catalog="built_marts")
     return tables
 
 
@@ -28,6 +28,13 @@ def test_all_models_are_built(built):
     assert sum(n.startswith("fact_") for n in names) == 21
 
 
+def test_gold_tables_are_listed_with_statistics(spark, built):
+    names = {n for n in built if n.startswith(("dim_", "fact_"))}
+    assert names <= {t.name for t in spark.catalog.listTables("built_marts")}
+    stats = spark.sql("describe extended built_marts.fact_match_players").where("col_name = 'Statistics'").first()
+    assert f"{built['fact_match_players'].count()} rows" in stats.data_type
+
+
 def test_declared_checks(built):
     kinds = [c.kind for c in checks.DECLARED_CHECKS]
     assert {k: kinds.count(k) for k in kinds} == {
