@@ -44,7 +44,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 from the token files."""
     apply_settings(spark)
-    return token_files(docs)
+    # Behind four other stages an executor has less memory to spare than for the operator alone.
+    return token_files(docs, pieces=1_000_000)
 
 
 STAGES = [
