@@ -91,3 +91,21 @@ def test_ranker_orders_pairs():
     # the share below the threshold is the share labelled 0
     assert abs((score < 0.3).mean() - (label == 0).mean()) < 0.01
     assert np.allclose(np.log(score / (1 - score)) - model.strength(x), np.log(0.3 / 0.7) - model.threshold)
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    kinds = ["Some plain words in a sentence, number {}.", "{} !! ## buy buy buy {}"]
+    rows = [(i, kinds[i % 3 == 0].format(i * i, i) + "x" * (i % 7)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 != 0) as quality")
+    known = docs.where(quality_model.trainable(F.col("doc_id"))).collect()
+    assert len(known) > 4000
+    x = np.array([quality_model.describe(r.text.encode()) for r in known])
+    model = quality_model.learn(docs, labels)
+    assert np.allclose(model.mean, x.mean(axis=0), rtol=1e-9, atol=1e-9)
+    strength = np.sort([model.strength(v) for v in x])
+    bad = sum(r.doc_id % 3 == 0 for r in known)
+    assert (strength < model.threshold).sum() == bad and strength[bad - 1] <= model.threshold <= strength[bad]
+    whole = quality_model.rank(x, np.array([int(r.doc_id % 3 != 0) for r in known]))
+    assert np.corrcoef(whole.weights, model.weights)[0, 1] > 0.95
+    assert quality_model.learn(docs.repartition(3), labels).weights.tolist() == model.weights.tolist()
