@@ -123,3 +123,20 @@ def test_scans_read_own_fields_only(frames, tmp_path):
     plan = staging.stg_match_player_kills(stored)._jdf.queryExecution().executedPlan()
     own = plan.collectLeaves().head().requiredSchema().simpleString()
     assert scan and "kills_log" in own and "purchase_log" not in own and "times" not in own
+
+
+def test_lookups_carry_a_player_as_one_value(spark):
+    from arenamart.plans.catalogue.star import Star
+
+    lines = Star(spark, "/root/testdata/sf0.001").fact_players._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    between = [x for x in lines if "Project [__item_" in x]
+    assert len(between) >= 6 and all("__player" in x and "net_worth" not in x for x in between)
+    # Hero win rates come from player rows without fights, which three steps gather once.
+    assert sum("Aggregate [" in x and "flag" in x for x in lines) == 3
+
+
+def test_given_results_equal_those_of_the_documents(frames):
+    nested, constants = frames
+    items, kinds = dimensions.dim_item(constants), staging.inflictor_kinds(constants)
+    given = mf.fact_match_players(nested, items, kinds, staging.stg_match_players(nested, ["hero_id", "team_win"]))
+    assert rows(given) == rows(mf.fact_match_players(nested, items, kinds))
