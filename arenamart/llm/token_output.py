@@ -45,7 +45,7 @@ END = 0
 #: and cost a tenth more CPU time; the ids are the same.
 PIECES = 2_000_000
 #: Texts that are encoded at a time: so many rows, or bytes if that is less (a longer text goes alone).
-SLICE_ROWS, SLICE_BYTES = 4096, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 4096, 2 << 20
 #: Ids in one block, and in one part, about.
 BLOCK_IDS = 1 << 20
 PART_IDS = 1 << 24
@@ -54,6 +54,15 @@ PART_IDS = 1 << 24
 WHOLE = r"^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\r\x0b\x0c\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def _grown(array: np.ndarray, filled: int, size: int) -> np.ndarray:
+    """``array`` with room for ``size`` elements; only the filled ones are copied."""
+    if size <= len(array):
+        return array
+    more = np.empty(max(size, 2 * len(array)), array.dtype)
+    more[:filled] = array[:filled]
+    return more
+
+
 class Encoder:
     """Ids of whole texts, with the ids of known pieces kept in one array.
 
@@ -77,16 +86,15 @@ class Encoder:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.filled = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # Room beyond what is filled stays untouched and takes no memory.
+        self.ids, self.filled = np.empty(1 << 16, np.uint32), 0
+        self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
 
     def _keep(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Appends ids that belong to ``pieces`` one after the other."""
         n = len(self.known)
-        while n + len(pieces) > len(self.starts):
-            self.starts, self.lengths = np.append(self.starts, self.starts), np.append(self.lengths, self.lengths)
-        while self.filled + len(ids) > len(self.ids):
-            self.ids = np.append(self.ids, self.ids)
+        self.starts, self.lengths = (_grown(a, n, n + len(pieces)) for a in (self.starts, self.lengths))
+        self.ids = _grown(self.ids, self.filled, self.filled + len(ids))
         self.ids[self.filled : self.filled + len(ids)] = ids
         self.lengths[n : n + len(pieces)] = lengths
         self.starts[n : n + len(pieces)] = self.filled + np.cumsum(lengths) - lengths
@@ -138,7 +146,7 @@ class Encoder:
             self._learn([p for p, c in zip(distinct, codes, strict=True) if c is None], flat.dictionary.filter(new))
             codes = list(map(self.known.get, distinct))
         codes = np.array(codes, np.int64)[flat.indices.to_numpy()]
-        lengths = self.lengths[codes]
+        lengths = self.lengths[codes].astype(np.int64)
         ends = np.cumsum(lengths)
         places = np.repeat(self.starts[codes] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
         tails = np.split(self.ids[places], np.append(0, ends)[np.cumsum(sizes - 1)][:-1])
@@ -191,6 +199,8 @@ def _tokenize(path: str, pieces: int | None = None) -> Callable[[Iterator[pa.Rec
                 none = pa.nulls(len(ids), pa.list_(pa.int64()))
                 arrays = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(map(_pack, ids), pa.binary()), none, none]
                 yield pa.RecordBatch.from_arrays(arrays, names)
+        # The worker lives on, so what its texts took goes back.
+        pa.default_memory_pool().release_unused()
         seen = np.flatnonzero(total)
         lists = [pa.array([x], pa.list_(pa.int64())) for x in (seen, total[seen])]
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *lists], names)

@@ -110,3 +110,13 @@ def test_slices_are_bounded_by_bytes_and_rows(monkeypatch):
     texts = pa.array(["x" * 250, "é" * 30, "y" * 40, "z", None, "", "", "", "w" * 101, "v" * 100])
     assert list(t._slices(texts)) == [(0, 1), (1, 2), (3, 4), (7, 1), (8, 1), (9, 1)]
     assert list(t._slices(pa.array([], pa.string()))) == []
+
+
+def test_remembered_pieces_take_little_room():
+    own, r = t.Encoder(public_tokenizers.path(t.TOKENIZER)), random.Random(5)
+    texts = ["x " + " ".join(str(r.randrange(10**9)) for _ in range(1000)) for _ in range(150)]
+    assert list(map(list, own.encode(texts))) == list(map(plain(), texts))
+    assert len(own.known) > 1 << 16  # the first room was too small
+    assert own.lengths.itemsize == own.ids.itemsize == 4
+    more = t._grown(np.arange(4), 3, 5)
+    assert len(more) == 8 and list(more[:3]) == [0, 1, 2] and t._grown(more, 3, 8) is more
